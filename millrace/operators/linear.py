@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, OneVsRest
 from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
@@ -62,20 +64,45 @@ def gradient_step(
 
 def descend(
     df: DataFrame, features: Sequence[str], target: str, schedule: Schedule, passes: int,
-    start: Weights | None = None, first_step: int = 1,
+    start: Weights | None = None, chunk: int = 16,
 ) -> Weights:
-    """Repeat ``gradient_step``; each pass is one aggregation and only the weights reach the driver."""
-    weights = start or Weights((0.0,) * len(features), 0.0)
-    kept: list[Weights] = []
-    for t in range(first_step, first_step + passes):
-        row = gradient_step(df, features, target, weights, schedule.step(t), schedule.alpha).first()
+    """Stochastic gradient descent over all rows, ``passes`` times.
+
+    In each pass every partition walks its rows from the common weights, ``chunk`` rows per step
+    (their gradients are added), and the partitions' weights are averaged by row count. One row of
+    weights per partition is aggregated; only the averaged weights reach the driver.
+    """
+    names, size = list(features), len(features)
+    weights = start or Weights((0.0,) * size, 0.0)
+    rows = df.select(*[F.col(c).cast("double") for c in names], F.col(target).cast("double").alias("_y"))
+
+    def one_pass(at: Weights, number: int):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            w, b, n = np.array(at.coefficients), at.intercept, 0
+            mean_w, mean_b, steps = np.zeros(size), 0.0, 0
+            for batch in batches:
+                x, y = batch[names].to_numpy(), batch["_y"].to_numpy()
+                for i in range(0, len(y), chunk):
+                    part, goal = x[i : i + chunk], y[i : i + chunk]
+                    eta = schedule.step(n + 1 + number * len(y))
+                    error = part @ w + b - goal
+                    w = w * (1.0 - eta * schedule.alpha * len(goal)) - eta * (error @ part)
+                    b -= eta * error.sum()
+                    n, steps = n + len(goal), steps + 1
+                    mean_w, mean_b = mean_w + (w - mean_w) / steps, mean_b + (b - mean_b) / steps
+            if n:
+                w, b = (mean_w, mean_b) if schedule.averaged else (w, b)
+                yield pd.DataFrame([[*w, b, n]], columns=[*[f"w_{i}" for i in range(size)], "b", "n"])
+
+        return run
+
+    fields = [*[f"w_{i}" for i in range(size)], "b"]
+    for number in range(passes):
+        ends = rows.mapInPandas(one_pass(weights, number), ", ".join(f"{c} double" for c in fields) + ", n long")
+        row = ends.agg(*[(F.sum(F.col(c) * F.col("n")) / F.sum("n")).alias(c) for c in fields]).first()
         if row["b"] is None:
             return weights
-        weights = Weights(tuple(row[f"w_{i}"] for i in range(len(features))), row["b"])
-        kept.append(weights)
-    if schedule.averaged and kept:
-        columns = zip(*(k.coefficients for k in kept))
-        return Weights(tuple(sum(c) / len(kept) for c in columns), sum(k.intercept for k in kept) / len(kept))
+        weights = Weights(tuple(row[c] for c in fields[:-1]), row["b"])
     return weights
 
 
@@ -116,9 +143,9 @@ def fit_variants(df: DataFrame, features: Sequence[str], target: str, passes: in
     scaler = Scaler.fit(df, features)
     plain = Scaler({c: 0.0 for c in features}, {c: 1.0 for c in features})
     rows = df.select(*features, target)
-    scaled = scaler.transform(rows) if target not in features else scaler.transform(rows)
+    scaled = scaler.transform(rows)
     return {
-        "raw": LinearModel(tuple(features), plain, descend(rows, features, target, RAW, passes)),
+        "raw": LinearModel(tuple(features), plain, descend(rows, features, target, RAW, passes, chunk=1)),
         "scaled": LinearModel(tuple(features), scaler, descend(scaled, features, target, SCALED, passes)),
         "decaying": LinearModel(tuple(features), scaler, descend(scaled, features, target, last, passes)),
     }
