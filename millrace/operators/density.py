@@ -38,16 +38,13 @@ class DensityClustering:
         cell = F.array(*[F.floor(F.col(c) / F.lit(self.side)).cast("long") for c in self.features])
         x = F.array(*[F.col(c) for c in self.features])
         self.points = written(distinct.select("id", "n", x.alias("x"), cell.alias("cell")), "cells")
-        self._core = self._border = None
+        self._core = self._border = self._labels = None
 
     def _neighbour_cells(self) -> Column:
         steps = itertools.product(range(-self.reach, self.reach + 1), repeat=len(self.features))
         offsets = [F.array(*[F.lit(v).cast("long") for v in s]) for s in steps]
         return F.transform(F.array(*offsets), lambda o: F.zip_with("cell", o, lambda a, b: a + b))
 
-    def _fold(self, parts: Column) -> Column:
-        return F.aggregate(parts, F.lit(0.0), lambda total, v: total + v)
-
     def _gap(self, low_a: Column, high_a: Column, low_b: Column, high_b: Column) -> tuple[Column, Column]:
         """Least and greatest squared distance between two boxes given by corner arrays."""
         near = F.lit(0.0)
@@ -168,18 +165,24 @@ class DensityClustering:
         finer = [F.floor(F.col("x")[i] / F.lit(self.side / 2**level)).cast("long") for i in range(len(self.features))]
         return F.concat(F.col("cell"), F.array(*finer))
 
+    def _cell_labels(self) -> DataFrame:
+        """(``cell``, ``label``) of every cell with core points."""
+        if self._labels is None:
+            core = self.core()
+            roots = connected_components(self._cell_edges().select(F.col("a").alias("u"), F.col("b").alias("v")))
+            cells = core.where("is_core").groupBy("cell").agg(F.min("id").alias("first"))
+            cells = cells.join(roots.withColumnRenamed("node", "cell"), "cell", "left")
+            cells = cells.select("cell", "first", F.coalesce("root", "cell").alias("root"))
+            names = cells.groupBy("root").agg(F.min("first").alias("label"))
+            self._labels = written(cells.join(names, "root").select("cell", "label"), "labels")
+        return self._labels
+
     def labels(self) -> DataFrame:
         """(``id``, ``label``) of every row: the least id among the cluster's core points, or -1.
 
         A border point close to several clusters joins the one with the least label.
         """
-        core = self.core()
-        roots = connected_components(self._cell_edges().select(F.col("a").alias("u"), F.col("b").alias("v")))
-        cells = core.where("is_core").groupBy("cell").agg(F.min("id").alias("first"))
-        cells = cells.join(roots.withColumnRenamed("node", "cell"), "cell", "left")
-        cells = cells.select("cell", "first", F.coalesce("root", "cell").alias("root"))
-        names = cells.groupBy("root").agg(F.min("first").alias("label"))
-        cells = cells.join(names, "root").select("cell", "label")
+        core, cells = self.core(), self._cell_labels()
         inner = core.where("is_core").join(cells, "cell").select("id", "label")
         outer = self.border().join(cells, "cell").groupBy("id").agg(F.min("label").alias("label"))
         labelled = core.select("id", "x").join(inner.union(outer), "id", "left")
@@ -189,6 +192,22 @@ class DensityClustering:
         keyed = points.select(*[F.col("x")[i].alias(c) for i, c in enumerate(self.features)], column)
         return self.rows.join(keyed, self.features).select("id", column)
 
+    def near_core(self, rows: DataFrame, id_: str) -> DataFrame:
+        """(``id_``, ``label``) of new rows: the least label among core points within eps, or -1.
+
+        The new rows do not change the clusters.
+        """
+        limit = F.lit(self.eps * self.eps)
+        cell = F.array(*[F.floor(F.col(c) / F.lit(self.side)).cast("long") for c in self.features])
+        x = F.array(*[F.col(c) for c in self.features])
+        asked = rows.select(id_, x.alias("x"), cell.alias("cell"))
+        probes = asked.select(id_, "x", F.explode(self._neighbour_cells()).alias("cell"))
+        labels = self._cell_labels()
+        cores = self.core().where("is_core").select("cell", F.col("x").alias("y")).join(labels, "cell")
+        close = probes.join(cores, "cell").where(self._squared(F.col("x"), F.col("y")) <= limit)
+        found = close.groupBy(id_).agg(F.min("label").alias("label"))
+        return rows.select(id_).join(found, id_, "left").select(id_, F.coalesce("label", F.lit(NOISE)).alias("label"))
+
     def core_rows(self) -> DataFrame:
         return self._per_row(self.core(), "is_core")
 

@@ -221,15 +221,18 @@ def ellipse(df: DataFrame, x: str, y: str, cluster: str = "cluster") -> DataFram
     )
 
 
-def time_series_folds(df: DataFrame, splits: int = 5, slice_s: int = 86_400) -> DataFrame:
-    """Expanding folds in time order: ``fold`` 0 is only ever training data; fold i tests on what
-    folds below i train."""
-    ordered = running_sum(df, [], ["ts", "machine_id"], time_slice("ts", slice_s), "_row")
+def numbered(df: DataFrame, order: Sequence[str], name: str = "n", slice_s: int = 3600) -> DataFrame:
+    """Add the row number in time order (the first column of ``order`` is the time)."""
+    return running_sum(df, [], order, time_slice(order[0], slice_s), name)
+
+
+def time_series_folds(df: DataFrame, splits: int = 5) -> DataFrame:
+    """Expanding folds in time order: fold 0 only trains; fold i is tested on what the folds below train."""
+    ordered = numbered(df, ["ts", "machine_id"], "row_no")
     total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     size = F.floor(total / F.lit(splits + 1))
-    from_end = F.floor((total - F.col("_row")) / size)
-    fold = F.greatest(F.lit(0), F.lit(splits) - from_end).cast("int")
-    return ordered.select(*df.columns, F.col("_row").alias("row_no"), fold.alias("fold"))
+    from_end = F.floor((total - F.col("row_no")) / size)
+    return ordered.withColumn("fold", F.greatest(F.lit(0), F.lit(splits) - from_end).cast("int"))
 
 
 # Score bands and their wording, highest band first.

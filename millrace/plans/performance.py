@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from millrace.functions import kpis
 from millrace.operators import affinity as aff
 from millrace.operators import clustering, metrics
+from millrace.operators.density import DensityClustering
 from millrace.operators.quantiles import exact_quantiles
-from millrace.operators.state import energy_per_unit_asof, latest_of, latest_state
+from millrace.operators.scaling import Scaler
+from millrace.operators.state import energy_per_unit_asof, latest_state
 from millrace.plans.anomalies import peak_ratio
 
 PERFORMANCE = ["time_per_unit", "defect_pct", "affinity"]
@@ -55,6 +57,14 @@ def performance_cluster(state: DataFrame, centres: clustering.Centres) -> DataFr
     )
 
 
+def energy_cluster(state: DataFrame, scaler: Scaler, model: DensityClustering) -> DataFrame:
+    """Each machine's energy features, the cluster of the history they fall in, and whether in none."""
+    labels = model.near_core(scaler.transform(state), "machine_id")
+    return state.join(labels, "machine_id").select(
+        "machine_id", *ENERGY, (F.col("label") == -1).alias("is_anomaly"), F.col("label").alias("energy_cluster")
+    )
+
+
 def optimal_pairings(mes: DataFrame, affinity: DataFrame) -> DataFrame:
     return aff.ranked(aff.lookup(aff.operators_of(mes).select(*aff.PAIR), affinity))
 
