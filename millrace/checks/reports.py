@@ -44,7 +44,7 @@ def affinity_batch(spark, folder):
 
 
 @check("affinity_last", """
-SELECT operator_id, machine_id, arg_max(rate, ts) AS affinity FROM
+SELECT operator_id, machine_id, arg_max_null(rate, ts) AS affinity FROM
   (SELECT *, 1 - defective_units::DOUBLE / NULLIF(units_produced, 0) AS rate FROM mes)
 GROUP BY ALL""", doubles="affinity")
 def affinity_last(spark, folder):
@@ -265,8 +265,8 @@ def ffill_machine(spark, folder):
 
 @check("latest_mes_metrics", """
 SELECT machine_id, max(ts) AS ts, arg_max(operator_id, event_id) AS operator_id,
-       arg_max(production_time_min / NULLIF(units_produced, 0), event_id) AS time_per_unit,
-       arg_max(defective_units::DOUBLE / NULLIF(units_produced, 0) * 100, event_id) AS defect_pct FROM mes
+       arg_max_null(production_time_min / NULLIF(units_produced, 0), event_id) AS time_per_unit,
+       arg_max_null(defective_units::DOUBLE / NULLIF(units_produced, 0) * 100, event_id) AS defect_pct FROM mes
 GROUP BY 1""", doubles="time_per_unit defect_pct")
 def latest_mes_metrics(spark, folder):
     mes = feed(spark, folder, "mes")

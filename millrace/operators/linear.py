@@ -174,3 +174,9 @@ def classify(model: PipelineModel, df: DataFrame) -> DataFrame:
     scores = vector_to_array("_raw")
     classes = len(model.stages[0].labels)
     return out.select(*df.columns, "predicted", *[scores[i].alias(f"score_{i}") for i in range(classes)])
+
+
+def best_class(scores: dict[str, Column]) -> Column:
+    """Name of the greatest score, the first in text order on a tie."""
+    entries = [F.struct((-score).alias("s"), F.lit(name).alias("name")) for name, score in sorted(scores.items())]
+    return F.array_min(F.array(*entries))["name"]

@@ -13,7 +13,7 @@ from millrace.operators import clustering, metrics
 from millrace.operators.density import DensityClustering
 from millrace.operators.quantiles import exact_quantiles
 from millrace.operators.scaling import Scaler
-from millrace.operators.state import energy_per_unit_asof, latest_state
+from millrace.operators.state import energy_per_unit_asof, latest_of, latest_state
 from millrace.plans.anomalies import peak_ratio
 
 PERFORMANCE = ["time_per_unit", "defect_pct", "affinity"]
@@ -36,11 +36,8 @@ def performance_state(mes: DataFrame, affinity: DataFrame) -> DataFrame:
 
 
 def latest_energy_per_unit(rows: DataFrame) -> DataFrame:
-    """Per machine: its last power reading over the units last known at that time."""
-    readings = energy_per_unit_asof(rows)
-    return readings.groupBy("machine_id").agg(
-        F.max_by("energy_per_unit", F.struct("ts", "event_id")).alias("energy_per_unit")
-    )
+    """Per machine: its last power reading over the units last known at that time, if above zero."""
+    return energy_per_unit_asof(rows).groupBy("machine_id").agg(latest_of("energy_per_unit"))
 
 
 def energy_state(rows: DataFrame) -> DataFrame:

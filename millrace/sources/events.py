@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.session import fresh_path
+
 EVENT_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()),
     T.StructField("ts", T.TimestampNTZType()),
@@ -20,11 +22,28 @@ def read_events(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(EVENT_SCHEMA).parquet(f"{folder}/events.parquet")
 
 
-def stream_events(spark: SparkSession, folder: str, files_per_batch: int = 16) -> DataFrame:
+def stream_events(spark: SparkSession, folder: str, glob: str = "events.parquet", files_per_batch: int | None = None) -> DataFrame:
     """The same table as a file stream; ``ts`` becomes TIMESTAMP, which watermarks need."""
-    stream = spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", files_per_batch)
-    rows = stream.option("pathGlobFilter", "*.parquet").parquet(folder)
-    return rows.withColumn("ts", F.col("ts").cast("timestamp"))
+    reader = spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", glob)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(folder).withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def closing_marker(spark: SparkSession) -> DataFrame:
+    """A stream of one event of each kind far in the future, with negative ids.
+
+    Joined to a finished input it moves the watermark past the last event, so that a replay
+    also emits the newest rows. Drop negative ids from the result.
+    """
+    path = fresh_path(spark, "marker")
+    kinds = F.array(*[F.lit(k) for k in ("click", "error", "purchase")])
+    rows = spark.range(1).select(F.posexplode(kinds).alias("i", "event_type")).select(
+        (-1 - F.col("i")).cast("long").alias("event_id"), F.lit("2100-01-01 00:00:00").cast("timestamp_ntz").alias("ts"),
+        F.lit(0).cast("long").alias("user_id"), "event_type", F.lit(0.0).alias("value"), F.lit('{"k": 99}').alias("props"),
+    )
+    rows.write.parquet(path)
+    return stream_events(spark, path, "*.parquet")
 
 
 def _machine() -> Column:
