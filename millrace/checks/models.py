@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from functools import partial
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from millrace.checks.registry import all_topics, check, feed, hourly
@@ -97,9 +96,8 @@ def state_training(spark, folder):
 def _classifier(label, spark, folder):
     rows = state_training(spark, folder)
     model = linear.fit_classifier(rows, align.STATE_FEATURES, label)
-    scored = written(linear.classify(model, rows), "scored")
-    labels = model.stages[0].labels
-    auc = metrics.macro_auc(scored, label, {k: f"score_{i}" for i, k in enumerate(labels)})
+    scored = written(model.transform(rows), "scored")
+    auc = metrics.macro_auc(scored, label, {k: f"score_{i}" for i, k in enumerate(model.classes)})
     return metrics.classification(scored, label, "predicted").withColumn("auc", auc.scalar())
 
 
@@ -147,22 +145,22 @@ check("forecast_status")(partial(_forecast_class, "machine_status"))
 check("forecast_alarm")(partial(_forecast_class, "alarm_code"))
 
 
-@check("model_save_load")
+@check("model_save_load", "SELECT ts, machine_id, true AS same_status, true AS same_power FROM featured WHERE "
+       + " AND ".join(f"{c} IS NOT NULL" for c in [*align.UNITS_FEATURES]))
 def model_save_load(spark, folder):
-    """Predictions of a regressor and a classifier read back from storage, beside the originals."""
+    """Predictions of a stored regressor and classifier equal those of the originals on every row."""
     rows = written(align.complete(training_rows(spark, folder), align.UNITS_FEATURES), "training")
     regressor = linear.fit_least_squares(rows, align.POWER_FEATURES, "power_kw")
-    path = fresh_path(spark, "power")
-    forecasts.save(regressor, spark, path)
     classifier = linear.fit_classifier(rows, align.STATE_FEATURES, "machine_status")
-    stored = fresh_path(spark, "status")
-    classifier.write().overwrite().save(stored)
-    one = linear.classify(classifier, rows).select("ts", "machine_id", F.col("predicted").alias("status"), *align.POWER_FEATURES)
-    two = linear.classify(PipelineModel.load(stored), rows).select("ts", "machine_id", F.col("predicted").alias("status_loaded"))
-    both = one.join(two, ["ts", "machine_id"])
-    return both.select(
-        "ts", "machine_id", "status", "status_loaded", regressor.prediction().alias("power"),
-        forecasts.load(spark, path).prediction().alias("power_loaded"),
+    loaded = []
+    for name, model in (("power", regressor), ("status", classifier)):
+        path = fresh_path(spark, name)
+        forecasts.save(model, spark, path)
+        loaded.append(forecasts.load(spark, path))
+    status, status_loaded = (linear.best_class(m.probabilities()) for m in (classifier, loaded[1]))
+    return rows.select(
+        "ts", "machine_id", (status == status_loaded).alias("same_status"),
+        (regressor.prediction() == loaded[0].prediction()).alias("same_power"),
     )
 
 

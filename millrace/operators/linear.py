@@ -1,4 +1,4 @@
-"""Linear models: gradient steps as aggregations, closed-form fits and classifiers from MLlib."""
+"""Linear models: gradient steps as aggregations, closed-form fits and one-vs-rest classifiers."""
 
 from __future__ import annotations
 
@@ -8,10 +8,9 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, OneVsRest
-from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -123,8 +122,6 @@ class LinearModel:
 
 def fit_least_squares(df: DataFrame, features: Sequence[str], target: str, alpha: float = 1e-3) -> LinearModel:
     """Closed-form ridge fit on scaled features: one pass over the rows (normal equations)."""
-    from pyspark.ml.regression import LinearRegression
-
     scaler = Scaler.fit(df, features)
     rows = scaler.transform(df.select(*features, F.col(target).cast("double").alias("_target")))
     rows = VectorAssembler(inputCols=list(features), outputCol="_x").transform(rows)
@@ -138,7 +135,8 @@ def fit_least_squares(df: DataFrame, features: Sequence[str], target: str, alpha
 def fit_variants(df: DataFrame, features: Sequence[str], target: str, passes: int, last: Schedule = DECAYING) -> dict[str, LinearModel]:
     """The three forms of each regressor: raw features, scaled, and scaled with a decaying step.
 
-    The raw form takes its fixed step on unscaled inputs, which need not converge.
+    The raw form takes its fixed step on unscaled inputs, which need not converge; a pass that
+    overflows ends the descent with the weights before it.
     """
     scaler = Scaler.fit(df, features)
     plain = Scaler({c: 0.0 for c in features}, {c: 1.0 for c in features})
@@ -151,32 +149,40 @@ def fit_variants(df: DataFrame, features: Sequence[str], target: str, passes: in
     }
 
 
-def fit_classifier(df: DataFrame, features: Sequence[str], label: str, iterations: int = 11) -> PipelineModel:
-    """One-vs-rest logistic regression; classes are numbered in text order."""
-    indexer = StringIndexer(inputCol=label, outputCol="_y", stringOrderType="alphabetAsc", handleInvalid="skip").fit(df)
-    stages = [
-        indexer,
-        VectorAssembler(inputCols=list(features), outputCol="_x", handleInvalid="skip"),
-        OneVsRest(
-            classifier=LogisticRegression(maxIter=iterations, regParam=1e-4), featuresCol="_x", labelCol="_y",
-            predictionCol="_p", rawPredictionCol="_raw",
-        ),
-        IndexToString(inputCol="_p", outputCol="predicted", labels=indexer.labels),
-    ]
-    return Pipeline(stages=stages).fit(df)
-
-
-def classify(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """``df`` with ``predicted`` and one score column per class, ``score_0`` ...; the label is not needed."""
-    out = df
-    for stage in model.stages[1:]:
-        out = stage.transform(out)
-    scores = vector_to_array("_raw")
-    classes = len(model.stages[0].labels)
-    return out.select(*df.columns, "predicted", *[scores[i].alias(f"score_{i}") for i in range(classes)])
-
-
 def best_class(scores: dict[str, Column]) -> Column:
     """Name of the greatest score, the first in text order on a tie."""
     entries = [F.struct((-score).alias("s"), F.lit(name).alias("name")) for name, score in sorted(scores.items())]
     return F.array_min(F.array(*entries))["name"]
+
+
+@dataclass(frozen=True)
+class Classifier:
+    """One-vs-rest logistic model: weights per class over raw features, classes in text order."""
+
+    features: tuple[str, ...]
+    classes: tuple[str, ...]
+    weights: tuple[Weights, ...]
+
+    def probabilities(self) -> dict[str, Column]:
+        """Score of each class, scaled to sum to one over the classes."""
+        scores = [1 / (1 + F.exp(-predicted(self.features, w))) for w in self.weights]
+        total = reduce(lambda a, b: a + b, scores)
+        return {c: score / total for c, score in zip(self.classes, scores)}
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``df`` with ``predicted`` and a score column per class, ``score_0`` ..."""
+        scores = self.probabilities()
+        columns = [score.alias(f"score_{i}") for i, score in enumerate(scores.values())]
+        return df.select(*df.columns, best_class(scores).alias("predicted"), *columns)
+
+
+def fit_classifier(df: DataFrame, features: Sequence[str], label: str, iterations: int = 11) -> Classifier:
+    """One binary logistic fit per class of a dictionary column."""
+    classes = [r[0] for r in df.select(label).where(F.col(label).isNotNull()).distinct().orderBy(label).collect()]
+    rows = VectorAssembler(inputCols=list(features), outputCol="_x").transform(df.select(label, *features).na.drop())
+    weights = []
+    for name in classes:
+        target = rows.select("_x", (F.col(label) == name).cast("double").alias("_y"))
+        fitted = LogisticRegression(featuresCol="_x", labelCol="_y", maxIter=iterations, regParam=1e-4).fit(target)
+        weights.append(Weights(tuple(map(float, fitted.coefficients)), float(fitted.intercept)))
+    return Classifier(tuple(features), tuple(classes), tuple(weights))

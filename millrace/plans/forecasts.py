@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import clean
 from millrace.operators import align, linear
-from millrace.operators.linear import LinearModel
+from millrace.operators.linear import Classifier, LinearModel, Weights
+from millrace.operators.scaling import Scaler
 from millrace.session import written
 
 # Digits a forecast is rounded to.
@@ -56,28 +56,38 @@ def forecast(state: DataFrame, target: str, models: Mapping[str, LinearModel]) -
     return state.select("machine_id", F.col(target).alias("current"), *columns)
 
 
-def forecast_class(state: DataFrame, label: str, model: PipelineModel) -> DataFrame:
+def forecast_class(state: DataFrame, label: str, model: Classifier) -> DataFrame:
     """Predicted and current class of each machine whose inputs are complete."""
     ready = state.where(clean.has_all(align.STATE_FEATURES))
-    return linear.classify(model, ready).select("machine_id", "predicted", F.col(label).alias("current"))
+    return model.transform(ready).select("machine_id", "predicted", F.col(label).alias("current"))
 
 
-def save(model: LinearModel, spark, path: str) -> None:
-    """A linear model as a small table: one row per feature, the intercept in each."""
-    rows = [
-        (i, c, float(w), float(model.scaler.mean[c]), float(model.scaler.std[c]), float(model.weights.intercept))
-        for i, (c, w) in enumerate(zip(model.features, model.weights.coefficients))
-    ]
-    schema = "position int, feature string, weight double, mean double, std double, intercept double"
-    spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(path)
+ROWS = "class string, position int, feature string, weight double, mean double, std double, intercept double"
+
 
+def _lines(name: str | None, features, weights: Weights, scaler: Scaler) -> list[tuple]:
+    return [
+        (name, i, c, float(w), float(scaler.mean[c]), float(scaler.std[c]), float(weights.intercept))
+        for i, (c, w) in enumerate(zip(features, weights.coefficients))
+    ]
 
-def load(spark, path: str) -> LinearModel:
-    from millrace.operators.linear import Weights
-    from millrace.operators.scaling import Scaler
 
-    rows = spark.read.parquet(path).orderBy("position").collect()
-    scaler = Scaler({r["feature"]: r["mean"] for r in rows}, {r["feature"]: r["std"] for r in rows})
-    return LinearModel(
-        tuple(r["feature"] for r in rows), scaler, Weights(tuple(r["weight"] for r in rows), rows[0]["intercept"])
-    )
+def save(model: LinearModel | Classifier, spark: SparkSession, path: str) -> None:
+    """A model as a small table: one row per class and feature, the intercept in each."""
+    if isinstance(model, LinearModel):
+        rows = _lines(None, model.features, model.weights, model.scaler)
+    else:
+        plain = Scaler({c: 0.0 for c in model.features}, {c: 1.0 for c in model.features})
+        rows = [line for name, w in zip(model.classes, model.weights) for line in _lines(name, model.features, w, plain)]
+    spark.createDataFrame(rows, ROWS).coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def load(spark: SparkSession, path: str) -> LinearModel | Classifier:
+    rows = spark.read.schema(ROWS).parquet(path).orderBy("class", "position").collect()
+    classes = list(dict.fromkeys(r["class"] for r in rows))
+    groups = [[r for r in rows if r["class"] == c] for c in classes]
+    weights = [Weights(tuple(r["weight"] for r in g), g[0]["intercept"]) for g in groups]
+    features = tuple(r["feature"] for r in groups[0])
+    if classes != [None]:
+        return Classifier(features, tuple(classes), tuple(weights))
+    return LinearModel(features, Scaler({r["feature"]: r["mean"] for r in rows}, {r["feature"]: r["std"] for r in rows}), weights[0])
