@@ -98,7 +98,10 @@ def kpi_rows(mes: DataFrame, scada: DataFrame, iot: DataFrame) -> DataFrame:
 
 
 def rounded(rows: DataFrame, digits: int = 6) -> DataFrame:
+    """All doubles to a number of digits, halves of the scaled value upwards."""
+    scale = F.lit(float(10**digits))
+
     def one(c: str, kind: str) -> Column:
-        return F.round(c, digits).alias(c) if kind == "double" else F.col(c)
+        return (F.round(F.col(c) * scale) / scale).alias(c) if kind == "double" else F.col(c)
 
     return rows.select(*[one(c, kind) for c, kind in rows.dtypes])

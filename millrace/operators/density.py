@@ -193,19 +193,25 @@ class DensityClustering:
         return self.rows.join(keyed, self.features).select("id", column)
 
     def near_core(self, rows: DataFrame, id_: str) -> DataFrame:
-        """(``id_``, ``label``) of new rows: the least label among core points within eps, or -1.
-
-        The new rows do not change the clusters.
+        """(``id_``, ``label``) of new rows: the cluster of their cell, else the least label among
+        core points within eps, or -1. The new rows do not change the clusters.
         """
         limit = F.lit(self.eps * self.eps)
         cell = F.array(*[F.floor(F.col(c) / F.lit(self.side)).cast("long") for c in self.features])
         x = F.array(*[F.col(c) for c in self.features])
         asked = rows.select(id_, x.alias("x"), cell.alias("cell"))
-        probes = asked.select(id_, "x", F.explode(self._neighbour_cells()).alias("cell"))
         labels = self._cell_labels()
-        cores = self.core().where("is_core").select("cell", F.col("x").alias("y")).join(labels, "cell")
-        close = probes.join(cores, "cell").where(self._squared(F.col("x"), F.col("y")) <= limit)
-        found = close.groupBy(id_).agg(F.min("label").alias("label"))
+        at_home = asked.join(labels, "cell").select(id_, "label")
+        abroad = asked.join(labels, "cell", "left_anti").select(id_, "x", F.explode(self._neighbour_cells()).alias("cell"))
+        cores = self.core().where("is_core")
+        boxes = self._boxes(cores, "cell").select("cell", "low", "high").join(labels, "cell")
+        near, far = self._gap(F.col("x"), F.col("x"), F.col("low"), F.col("high"))
+        met = abroad.join(boxes, "cell").withColumn("near", near).withColumn("far", far).where(F.col("near") <= limit)
+        sure = met.where(F.col("far") <= limit).select(id_, "label")
+        cut = met.where(F.col("far") > limit).select(id_, "x", "cell", "label")
+        close = cut.join(cores.select("cell", F.col("x").alias("y")), "cell")
+        close = close.where(self._squared(F.col("x"), F.col("y")) <= limit).select(id_, "label")
+        found = at_home.union(sure).union(close).groupBy(id_).agg(F.min("label").alias("label"))
         return rows.select(id_).join(found, id_, "left").select(id_, F.coalesce("label", F.lit(NOISE)).alias("label"))
 
     def core_rows(self) -> DataFrame:

@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.clean import clip
 from millrace.functions.kpis import ratio
 from millrace.operators.scan import running_sum, time_slice, value_slice
+from millrace.session import written
 
 
 def _total(columns: Sequence[Column]) -> Column:
@@ -165,11 +168,9 @@ def silhouette(df: DataFrame, features: Sequence[str], cluster: str = "cluster",
     count, are dealt into blocks, and each pair of blocks is one small task that returns distance
     sums per point and cluster.
     """
-    import numpy as np
-    import pandas as pd
-
     names = list(features)
     points = df.groupBy(F.col(cluster).cast("long").alias("cluster"), *names).agg(F.count(F.lit(1)).alias("n"))
+    points = written(points, "distinct")
     blocks = max(1, -(-points.count() // block_rows))
     points = points.withColumn("point", F.struct("cluster", *names))
     points = points.withColumn("block", F.pmod(F.xxhash64("point"), F.lit(blocks)).cast("int"))

@@ -11,12 +11,13 @@ from millrace.operators.scan import running_sum, value_slice
 
 
 def exact_quantiles(
-    df: DataFrame, by: Sequence[str], value: str, quantiles: Mapping[str, float], width: float = 1.0
+    df: DataFrame, by: Sequence[str], value: str, quantiles: Mapping[str, float], width: float = 0.01
 ) -> DataFrame:
     """One row per key with a column per entry of ``quantiles``.
 
     Equal values collapse to one counted row, a running count over the values (cut into slices of
-    ``width``) gives their ranks, and the two order statistics next to each quantile are picked.
+    ``width``, best the precision of the values) gives their ranks, and the two order statistics
+    next to each quantile are picked.
     """
     counted = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
     ranked = running_sum(counted, by, [value], value_slice(value, width), "_upto", F.col("_n"))

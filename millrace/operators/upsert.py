@@ -34,6 +34,13 @@ def last_per_key(rows: DataFrame, key: Sequence[str], version: Sequence[str]) ->
     return newest.select(*[F.col(c) if c in key else F.col(f"_row.{c}").alias(c) for c in rows.columns])
 
 
+def _of_days(table: DataFrame, rows: DataFrame) -> DataFrame:
+    """The partitions of ``table`` for the days in ``rows``, named as literals so that the scan skips
+    the others; the list is as long as the calendar span of ``rows``."""
+    days = [r["day"] for r in rows.select("day").distinct().collect()]
+    return table.where(F.col("day").isin(days))
+
+
 def _replace_days(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
 
@@ -46,24 +53,25 @@ def upsert(rows: DataFrame, path: str, key: Sequence[str] = KEY, version: Sequen
     """
     spark = rows.sparkSession
     arriving = written(rows.withColumn("day", F.to_date("ts")), "arriving")
-    present = read_table(spark, path, rows.schema).select(*arriving.columns)
-    touched = present.join(arriving.select("day").distinct(), "day", "left_semi")
-    merged = last_per_key(touched.unionByName(arriving), [*key, "day"], version)
+    present = _of_days(read_table(spark, path, rows.schema), arriving).select(*arriving.columns)
+    merged = last_per_key(present.unionByName(arriving), [*key, "day"], version)
     _replace_days(written(merged, "merged"), path)
 
 
 def insert_new(rows: DataFrame, path: str, key: Sequence[str] = KEY, version: Sequence[str] = ("event_id",)) -> None:
     """First write wins per key: append rows whose key the table lacks; running twice adds nothing."""
     spark = rows.sparkSession
-    arriving = rows.withColumn("day", F.to_date("ts"))
+    arriving = written(rows.withColumn("day", F.to_date("ts")), "arriving")
     rest = [c for c in arriving.columns if c not in (*key, "day")]
     first = arriving.groupBy(*key, "day").agg(F.min_by(F.struct(*rest), F.struct(*version)).alias("_row"))
     first = first.select(*[F.col(f"_row.{c}").alias(c) if c in rest else F.col(c) for c in arriving.columns])
-    fresh = written(only_new(first, read_table(spark, path, rows.schema), tuple([*key, "day"])), "fresh")
+    present = _of_days(read_table(spark, path, rows.schema), arriving)
+    fresh = written(only_new(first, present, (*key, "day")), "fresh")
     fresh.write.mode("append").partitionBy("day").parquet(path)
 
 
 def refresh_days(fact: DataFrame, changed_days: DataFrame, aggregate, path: str) -> None:
     """Recompute a daily aggregate for the changed days only and replace those partitions."""
-    touched = fact.withColumn("day", F.to_date("ts")).join(changed_days.select("day").distinct(), "day", "left_semi")
+    dated = fact if "day" in fact.columns else fact.withColumn("day", F.to_date("ts"))
+    touched = _of_days(dated, changed_days)
     _replace_days(aggregate(touched.drop("day")).withColumnRenamed("period", "day"), path)

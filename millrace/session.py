@@ -29,8 +29,6 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Runtime settings every job relies on; all can be set on a running session."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    # Small first batches must not pin the number of state partitions to the cluster default.
-    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "true")
     return spark
 
 

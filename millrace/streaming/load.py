@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,13 +11,16 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from millrace import schemas
+from millrace.functions import clean
 from millrace.operators import fact, linear
 from millrace.operators.linear import Weights
+from millrace.operators.state import latest_state
 from millrace.operators.upsert import insert_new
+from millrace.session import written
 from millrace.sources import dimensions
 from millrace.streaming.runs import BatchFolders, Snapshots, per_batch
 
-SETTLE_S = max(schemas.MES_TOLERANCE_S, schemas.SCADA_TOLERANCE_S)
+SETTLE = dt.timedelta(seconds=max(schemas.MES_TOLERANCE_S, schemas.SCADA_TOLERANCE_S))
 TOPIC_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampType()),
     T.StructField("machine_id", T.StringType()), T.StructField("topic", T.StringType()),
@@ -25,39 +29,43 @@ TOPIC_SCHEMA = T.StructType([
     T.StructField("machine_status", T.StringType()), T.StructField("alarm_code", T.StringType()),
     T.StructField("operator_id", T.IntegerType()), T.StructField("units_produced", T.IntegerType()),
     T.StructField("defective_units", T.IntegerType()), T.StructField("production_time_min", T.DoubleType()),
-    T.StructField("day", T.DateType()),
 ])
+# Folder dates are in the session time zone, collected times in that of the process.
+ONE_DAY = dt.timedelta(days=1)
+MARK_SCHEMA = T.StructType([T.StructField("newest", T.TimestampType())])
 FEED_KEY = ["event_id", "ts", "machine_id"]
 
 
 class FactLoader:
-    """Stages arriving rows by batch and day and inserts each sensor row once its matches are settled.
+    """Stages arriving rows by day and batch and inserts each sensor row once its matches are settled.
 
     A sensor row is loaded when an event at least the largest tolerance newer has been seen; by
     then, for input in time order, its nearest rows have arrived. A batch reads only the days
-    around its own rows. Staging and the insert can both be repeated.
+    from shortly before its own oldest row on. Every step can be repeated for the same batch.
     """
 
-    def __init__(self, spark: SparkSession, staging: str, table: str):
+    def __init__(self, spark: SparkSession, folder: str, table: str):
         self.spark, self.table = spark, table
-        self.staged = BatchFolders(spark, staging, TOPIC_SCHEMA, by=("topic", "day"))
+        self.staged = BatchFolders(spark, f"{folder}/rows", TOPIC_SCHEMA)
+        self.marks = Snapshots(spark, f"{folder}/marks", MARK_SCHEMA)
 
     def load(self, rows: DataFrame, batch: int) -> None:
-        arriving = rows.withColumn("day", F.to_date("ts")).select(*[f.name for f in TOPIC_SCHEMA.fields])
-        self.staged.write(arriving, batch)
-        staged = self.staged.read()
-        first, newest = staged.where(F.col("batch") == batch).agg(F.min("ts"), F.max("ts")).first()
-        if first is None:
+        arriving = written(rows.select(*[f.name for f in TOPIC_SCHEMA.fields]), "arriving")
+        oldest, newest = arriving.agg(F.min("ts"), F.max("ts")).first()
+        if oldest is None:
             return
-        high = staged.agg(F.max("ts")).first()[0] if batch else newest
-        low = F.lit(first) - F.expr(f"INTERVAL {SETTLE_S} SECONDS")
-        around = staged.where((F.col("ts") >= low - F.expr(f"INTERVAL {SETTLE_S} SECONDS")) & (F.col("day") >= F.to_date(low - F.expr(f"INTERVAL {SETTLE_S} SECONDS"))))
-        around = around.where(F.col("ts") <= F.lit(high))
-        parts = {t: around.where(F.col("topic") == t).select(*FEED_KEY, *schemas.FEED_COLUMNS[t]) for t in schemas.FEED_COLUMNS}
-        settled = (F.col("ts") >= low) & (F.col("ts") <= F.lit(high) - F.expr(f"INTERVAL {SETTLE_S} SECONDS"))
+        self.staged.write(arriving, batch)
+        mark = self.marks.before(batch).first()
+        high = newest if mark is None else max(newest, mark["newest"])
+        low = oldest - SETTLE
+        staged = self.staged.read(since=(low - SETTLE - ONE_DAY).date().isoformat())
+        staged = staged.where(F.col("ts").between(F.lit(low - SETTLE), F.lit(high)))
+        parts = {t: staged.where(F.col("topic") == t).select(*FEED_KEY, *schemas.FEED_COLUMNS[t]) for t in schemas.FEED_COLUMNS}
+        settled = F.col("ts").between(F.lit(low), F.lit(high - SETTLE))
         fused = fact.fuse(parts["iot"].where(settled), parts["mes"], parts["scada"])
-        keyed = fact.enrich(fused, dimensions.seed(self.spark, "machine_status"), dimensions.seed(self.spark, "alarm_codes"))
-        insert_new(keyed, self.table, version=("temperature_c",))
+        seeds = [dimensions.seed(self.spark, name) for name in ("machine_status", "alarm_codes")]
+        insert_new(fact.enrich(fused, *seeds), self.table, version=("temperature_c",))
+        self.marks.write(self.spark.createDataFrame([(high,)], MARK_SCHEMA), batch)
 
     def writer(self, topics: DataFrame) -> DataStreamWriter:
         return per_batch(topics, self.load)
@@ -72,23 +80,17 @@ def daily_units(mes: DataFrame, delay: str = "1 hour") -> DataFrame:
 
 def roll_up(daily: DataFrame, grain: str) -> DataFrame:
     """Weeks or months from the daily partial sums."""
-    from millrace.functions import clean
-
     return daily.groupBy("machine_id", clean.period("day", grain).alias("period")).agg(F.sum("units_produced").alias("units_produced"))
 
 
 def score_ready(state: DataFrame, features: Sequence[str], weights: Weights, digits: int) -> DataFrame:
     """Rounded predictions of the machines whose fields are all known."""
-    from millrace.functions import clean
-
     ready = state.where(clean.has_all(features))
     return ready.select("machine_id", "ts", F.round(linear.predicted(features, weights), digits).alias("predicted"))
 
 
 def keep_scores(topics: DataFrame, state: Snapshots, scores: BatchFolders, features: Sequence[str], weights: Weights, digits: int = 2) -> DataStreamWriter:
     """Each batch merges the latest state and scores the machines it changed."""
-    from millrace.operators.state import latest_state
-
     def score(changed: DataFrame, batch: int) -> None:
         kept = state.before(batch).join(changed.select("machine_id"), "machine_id", "left_anti")
         state.write(kept.unionByName(changed.select(*kept.columns)), batch)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -42,12 +43,7 @@ class Snapshots:
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
 
     def _versions(self) -> list[int]:
-        if not exists(self.spark, self.path):
-            return []
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        system = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        names = [status.getPath().getName() for status in system.listStatus(folder)]
-        found = [int(n.split("=")[1]) for n in names if n.startswith("version=")]
+        found = [int(v) for v in child_folders(self.spark, self.path, "version")]
         return sorted(v for v in found if exists(self.spark, f"{self.path}/version={v}/_SUCCESS"))
 
     def before(self, batch: int) -> DataFrame:
@@ -64,19 +60,32 @@ class Snapshots:
         return self.before(1 << 62)
 
 
-class BatchFolders:
-    """Rows kept in one folder per batch; a repeated batch replaces its own folder."""
+def child_folders(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    """Values of the partition folders ``<prefix>=<value>`` directly below ``path``."""
+    if not exists(spark, path):
+        return []
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [status.getPath().getName() for status in system.listStatus(folder)]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{prefix}="))
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, by: tuple[str, ...] = ()):
-        self.spark, self.path, self.schema, self.by = spark, path.rstrip("/"), schema, by
 
-    def write(self, rows: DataFrame, batch: int) -> None:
-        rows.write.mode("overwrite").partitionBy(*self.by).parquet(f"{self.path}/batch={batch}")
-
-    def read(self) -> DataFrame:
-        fields = [f for f in self.schema.fields if f.name not in self.by]
-        last = [f for f in self.schema.fields if f.name in self.by]
-        full = T.StructType([*fields, T.StructField("batch", T.LongType()), *last])
-        if not exists(self.spark, self.path):
-            return self.spark.createDataFrame([], full)
-        return self.spark.read.schema(full).parquet(self.path)
+class BatchFolders:
+    """Rows kept by day and batch; a repeated batch replaces its own folders."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
+        self.spark, self.path = spark, path.rstrip("/")
+        self.schema = T.StructType([*schema.fields, T.StructField("day", T.DateType()), T.StructField("batch", T.LongType())])
+
+    def write(self, rows: DataFrame, batch: int, ts: str = "ts") -> None:
+        dated = rows.withColumn("day", F.to_date(ts)).withColumn("batch", F.lit(batch).cast("long"))
+        writer = dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("day", "batch").parquet(self.path)
+
+    def read(self, since: str | None = None) -> DataFrame:
+        """All rows, or those from a day on; only the folders of those days are listed."""
+        days = child_folders(self.spark, self.path, "day")
+        paths = [f"{self.path}/day={d}" for d in days if since is None or d >= since]
+        if not paths:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).option("basePath", self.path).parquet(*paths)
