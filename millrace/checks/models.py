@@ -6,7 +6,7 @@ from functools import partial
 
 from pyspark.sql import functions as F
 
-from millrace.checks.registry import all_topics, check, feed, hourly
+from millrace.checks.registry import all_topics, check, feed, feeds, hourly
 from millrace.checks.reports import energy_points, performance_rows
 from millrace.functions import kpis
 from millrace.operators import affinity, align, clustering, linear, metrics, scaling, state
@@ -18,7 +18,12 @@ from millrace.session import fresh_path, written
 
 def training_rows(spark, folder):
     iot, scada, mes = hourly(spark, folder)
-    return align.features(scada, iot, mes)
+    return align.features(scada, iot, mes, feed_codes(spark, folder))
+
+
+def feed_codes(spark, folder):
+    iot, scada, mes = feeds(spark, folder)
+    return align.codes(scada, iot, mes)
 
 
 @check("label_encode", "SELECT ts, machine_id, machine_code, status_code, alarm_code_no FROM featured")
@@ -89,7 +94,7 @@ def argmax_decode(spark, folder):
 
 def state_training(spark, folder):
     iot, scada, _ = hourly(spark, folder)
-    rows = align.coded(align.forward_fill(align.outer(scada, iot)))
+    rows = align.coded(align.forward_fill(align.outer(scada, iot)), feed_codes(spark, folder))
     return written(align.complete(rows, [*align.STATE_FEATURES, "machine_status", "alarm_code"]), "training")
 
 
@@ -121,14 +126,14 @@ for _key, _target in TARGET_KEYS.items():
     check(f"{_key}_model")(partial(_regressor, _target))
 
 
-def _current(spark, folder, training):
+def _current(spark, folder):
     latest = state.latest_state(all_topics(spark, folder)).withColumn("alarm_code", F.when(F.col("alarm_code") == "", "None").otherwise(F.col("alarm_code")))
-    return forecasts.coded_state(latest, forecasts.codes_of(training))
+    return forecasts.coded_state(latest, feed_codes(spark, folder))
 
 
 def _forecast(target, spark, folder):
     training = training_rows(spark, folder)
-    return forecasts.forecast(_current(spark, folder, training), target, forecasts.fit_target(training, target))
+    return forecasts.forecast(_current(spark, folder), target, forecasts.fit_target(training, target))
 
 
 for _key, _target in TARGET_KEYS.items():
@@ -138,7 +143,7 @@ for _key, _target in TARGET_KEYS.items():
 def _forecast_class(label, spark, folder):
     training = state_training(spark, folder)
     model = linear.fit_classifier(training, align.STATE_FEATURES, label)
-    return forecasts.forecast_class(_current(spark, folder, training), label, model)
+    return forecasts.forecast_class(_current(spark, folder), label, model)
 
 
 check("forecast_status")(partial(_forecast_class, "machine_status"))

@@ -71,7 +71,7 @@ def performance_rows(spark, folder):
     """Hourly production rows with the three performance features."""
     iot, scada, mes = hourly(spark, folder)
     rows = align.kpi_rows(mes, scada, iot).join(mes.select("ts", "machine_id", "event_id"), ["ts", "machine_id"])
-    known = affinity.from_totals(feed(spark, folder, "mes"))
+    known = written(affinity.from_totals(feed(spark, folder, "mes")), "affinity")
     return affinity.lookup(rows, known).na.drop(subset=performance.PERFORMANCE)
 
 
@@ -387,7 +387,7 @@ def energy_forecast(spark, folder):
     """With fixed centres; ``energy_forecast_fitted`` fits them per machine."""
     history = performance.hourly_history(align.inner(*hourly(spark, folder)[1::-1]))
     points = written(performance.scaled_history(history), "history")
-    centres = points.select("machine_id").distinct().withColumn("centres", clustering.centre_array(HOUR_CENTRES))
+    centres = written(points.select("machine_id").distinct().withColumn("centres", clustering.centre_array(HOUR_CENTRES)), "centres")
     latest = state.latest_state(all_topics(spark, folder), ("temperature_c", "vibration_mm_s"))
     return performance.energy_forecast(history, latest, centres, points, ANCHOR)
 

@@ -372,7 +372,7 @@ LEFT JOIN (SELECT * FROM affinity WHERE operator_id <> 1003) a USING (operator_i
 def affinity_lookup(spark, folder):
     """Operator 1003 is left out of the table, so its rows take the default."""
     mes = feed(spark, folder, "mes")
-    known = affinity.from_totals(mes).where("operator_id <> 1003")
+    known = written(affinity.from_totals(mes).where("operator_id <> 1003"), "affinity")
     return affinity.lookup(mes.select("event_id", "operator_id", "machine_id"), known)
 
 

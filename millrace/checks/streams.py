@@ -177,13 +177,16 @@ POWER_INPUTS = ["temperature_c", "vibration_mm_s", "pressure_bar"]
 WEIGHTS = Weights((0.1, 0.2, 0.3), 0.5)
 
 
+SCORED_SCHEMA = T.StructType([*STATE_SCHEMA.fields, T.StructField("trigger_ts", T.TimestampType())])
+
+
 @check("stream_score", """
 SELECT machine_id, ts, round(0.1::DOUBLE * temperature_c + 0.2::DOUBLE * vibration_mm_s + 0.3::DOUBLE * pressure_bar + 0.5::DOUBLE, 2) AS predicted FROM latest""")
 def stream_score(spark, folder):
     """Scores of the latest state with fixed weights; one batch holds the whole replay."""
     schema = T.StructType([T.StructField("machine_id", T.StringType()), T.StructField("ts", T.TimestampType()), T.StructField("predicted", T.DoubleType())])
     with few_state_partitions(spark):
-        state = runs.Snapshots(spark, fresh_path(spark, "state"), STATE_SCHEMA)
+        state = runs.Snapshots(spark, fresh_path(spark, "state"), SCORED_SCHEMA)
         scores = runs.BatchFolders(spark, fresh_path(spark, "scores"), schema)
         writer = load.keep_scores(topic_stream(spark, folder), state, scores, POWER_INPUTS, WEIGHTS)
         runs.replay(writer, spark, "score")
@@ -191,6 +194,26 @@ def stream_score(spark, folder):
     return plain_time(latest)
 
 
+@check("stream_upsert", """
+SELECT date_trunc('hour', ts) AS ts, machine_id, arg_max(power_kw, event_id) AS power_kw, max(event_id) AS event_id,
+       CAST(min(ts) AS DATE) AS day FROM scada GROUP BY date_trunc('hour', ts), machine_id""", doubles="power_kw")
+def stream_upsert(spark, folder):
+    rows = feed_stream(spark, folder, "scada").select(F.date_trunc("hour", "ts").alias("ts"), "machine_id", "power_kw", "event_id")
+    path = fresh_path(spark, "upserted")
+    runs.replay(load.keep_upserted(rows, path), spark, "upserted")
+    return plain_time(read_table(spark, path, rows.schema))
+
+
+@check("stream_first_per_key", "SELECT DISTINCT date_trunc('hour', ts) AS ts, machine_id FROM scada")
+def stream_first_per_key(spark, folder):
+    """One row per hour and machine survives."""
+    rows = feed_stream(spark, folder, "scada").select(F.date_trunc("hour", "ts").alias("ts"), "machine_id", "event_id")
+    with few_state_partitions(spark):
+        path = fresh_path(spark, "first")
+        runs.replay(runs.to_table(load.first_per_key(rows), path), spark, "first")
+    return plain_time(spark.read.schema(rows.schema).parquet(path).select("ts", "machine_id"))
+
+
 @check("stream_sgd", """
 SELECT 0.1 * (1 - 1e-4 * 1e-3) - 1e-4 * avg(d * temperature_c) AS w_0, 0.2 * (1 - 1e-4 * 1e-3) - 1e-4 * avg(d * vibration_mm_s) AS w_1,
        0.3 * (1 - 1e-4 * 1e-3) - 1e-4 * avg(d * pressure_bar) AS w_2, 0.5 - 1e-4 * avg(d) AS b

@@ -53,7 +53,10 @@ def running(mes: DataFrame, start: float = DEFAULT) -> DataFrame:
 
 
 def lookup(rows: DataFrame, affinity: DataFrame) -> DataFrame:
-    """Add ``affinity``; a pair never seen gets the default."""
+    """Add ``affinity``; a pair never seen gets the default.
+
+    Against many rows pass a written table, so that the planner knows how small it is.
+    """
     joined = rows.join(affinity.select(*PAIR, F.col("affinity").alias("_known")), PAIR, "left")
     return joined.select(*rows.columns, F.coalesce("_known", F.lit(DEFAULT)).alias("affinity"))
 

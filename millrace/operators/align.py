@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from millrace import schemas
 from millrace.functions import kpis
 from millrace.operators.scan import Fill, fill, time_slice
+from millrace.session import written
 
 KEY = ["ts", "machine_id"]
 
@@ -71,16 +72,38 @@ def with_ratios(rows: DataFrame) -> DataFrame:
     })
 
 
-def coded(rows: DataFrame) -> DataFrame:
+CODE_NAMES = {"machine_id": "machine_code", "machine_status": "status_code", "alarm_code": "alarm_code_no"}
+
+
+def codes(scada: DataFrame, *others: DataFrame) -> dict[str, DataFrame]:
+    """Code tables of machines (over all feeds), states and alarms, taken before the feeds are joined.
+
+    They are written first: the planner then knows their size and broadcasts them if they are small,
+    instead of shuffling all rows by a column of few values.
+    """
+    machines = scada.select("machine_id")
+    for rows in others:
+        machines = machines.union(rows.select("machine_id"))
+    return {
+        "machine_id": written(label_codes(machines, "machine_id"), "codes"),
+        "machine_status": written(label_codes(scada, "machine_status"), "codes"),
+        "alarm_code": written(label_codes(scada, "alarm_code"), "codes"),
+    }
+
+
+def coded(rows: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
     """Machine, state and alarm text as numbers, classes in text order."""
-    for column, name in (("machine_id", "machine_code"), ("machine_status", "status_code"), ("alarm_code", "alarm_code_no")):
-        rows = with_code(rows, column, label_codes(rows, column), name)
+    for column, name in CODE_NAMES.items():
+        rows = with_code(rows, column, tables[column], name)
     return rows
 
 
-def features(scada: DataFrame, iot: DataFrame, mes: DataFrame) -> DataFrame:
-    """Aligned, filled and coded rows with the derived ratios; incomplete rows stay (see ``complete``)."""
-    return with_ratios(coded(forward_fill(outer(scada, iot, mes))))
+def features(scada: DataFrame, iot: DataFrame, mes: DataFrame, tables: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Aligned, filled and coded rows with the derived ratios; incomplete rows stay (see ``complete``).
+
+    ``tables`` are the code tables of the raw feeds; without them they come from the given rows.
+    """
+    return with_ratios(coded(forward_fill(outer(scada, iot, mes)), tables or codes(scada, iot, mes)))
 
 
 def complete(rows: DataFrame, columns: Sequence[str]) -> DataFrame:

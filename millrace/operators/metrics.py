@@ -120,7 +120,7 @@ def davies_bouldin(df: DataFrame, features: Sequence[str], cluster: str = "clust
 
     The pairwise step runs inside one row that holds one entry per cluster.
     """
-    centres = _centroids(df, features, cluster)
+    centres = written(_centroids(df, features, cluster), "centres")
     placed = df.join(centres, cluster)
     spread = F.avg(_distance(F.array(*features), F.col("centre")))
     entries = placed.groupBy(cluster, "centre").agg(spread.alias("spread"))
@@ -193,7 +193,7 @@ def silhouette(df: DataFrame, features: Sequence[str], cluster: str = "cluster",
         distances, f"cluster long, {fields}, other long, total double"
     )
     sums = partial.groupBy("cluster", *names, "other").agg(F.sum("total").alias("total"))
-    sizes = points.groupBy(F.col("cluster").alias("other")).agg(F.sum("n").cast("double").alias("size"))
+    sizes = written(points.groupBy(F.col("cluster").alias("other")).agg(F.sum("n").cast("double").alias("size")), "sizes")
     sums = sums.join(sizes, "other")
     own = F.col("other") == F.col("cluster")
     scored = sums.groupBy("cluster", *names).agg(

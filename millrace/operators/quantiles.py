@@ -20,14 +20,12 @@ def exact_quantiles(
     next to each quantile are picked.
     """
     counted = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = running_sum(counted, by, [value], value_slice(value, width), "_upto", F.col("_n"))
-    totals = counted.groupBy(*by).agg(F.sum("_n").alias("_total"))
-    rows = ranked.join(totals, list(by))
+    rows = running_sum(counted, by, [value], value_slice(value, width), "_upto", F.col("_n"), total="_all")
     picks, result = [], []
     for name, q in quantiles.items():
-        at = F.lit(float(q)) * (F.col("_total") - 1)
+        at = F.lit(float(q)) * (F.col("_all") - 1)
         picks.append(F.min(F.when(F.col("_upto") > F.floor(at), F.col(value))).alias(f"_lo_{name}"))
         picks.append(F.min(F.when(F.col("_upto") > F.ceil(at), F.col(value))).alias(f"_hi_{name}"))
         share = at - F.floor(at)
         result.append((F.col(f"_lo_{name}") + (F.col(f"_hi_{name}") - F.col(f"_lo_{name}")) * share).alias(name))
-    return rows.groupBy(*by, "_total").agg(*picks).select(*by, F.col("_total").alias("n"), *result)
+    return rows.groupBy(*by, "_all").agg(*picks).select(*by, F.col("_all").alias("n"), *result)

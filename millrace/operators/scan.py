@@ -78,8 +78,12 @@ def running_sum(
     name: str,
     value: Column | None = None,
     descending: bool = False,
+    total: str | None = None,
 ) -> DataFrame:
-    """Add the inclusive running sum of ``value`` (default: running row number) as ``name``."""
+    """Add the inclusive running sum of ``value`` (default: running row number) as ``name``.
+
+    ``total`` names a further column for the sum over the whole key.
+    """
     rows = df.withColumn(SLICE, slice_).withColumn("_value", F.lit(1).cast("long") if value is None else value)
 
     def direction(c: str) -> Column:
@@ -89,7 +93,10 @@ def running_sum(
     inner = inner.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     outer = Window.partitionBy(*by).orderBy(direction(SLICE)).rowsBetween(Window.unboundedPreceding, -1)
     summary = rows.groupBy(*by, SLICE).agg(F.sum("_value").alias("_total"))
-    summary = summary.select(*by, SLICE, F.sum("_total").over(outer).alias("_before"))
+    whole = F.sum("_total").over(Window.partitionBy(*by))
+    sums = [F.sum("_total").over(outer).alias("_before"), *([whole.alias(total)] if total else [])]
+    summary = summary.select(*by, SLICE, *sums)
     joined = _join_slices(rows.withColumn("_inside", F.sum("_value").over(inner)), summary, by)
-    total = F.col("_inside") + F.coalesce(F.col("_before"), F.lit(0))
-    return joined.select(*[F.col(c) for c in df.columns if c != name], total.alias(name))
+    upto = F.col("_inside") + F.coalesce(F.col("_before"), F.lit(0))
+    kept = [F.col(c) for c in df.columns if c != name]
+    return joined.select(*kept, upto.alias(name), *([total] if total else []))

@@ -19,9 +19,11 @@ def latest_of(column: str, order: Sequence[str] = ("ts", "event_id")) -> Column:
     return F.max_by(column, F.when(F.col(column).isNotNull(), F.struct(*order))).alias(column)
 
 
-def latest_state(rows: DataFrame, columns: Sequence[str] = tuple(STATE_COLUMNS)) -> DataFrame:
+def latest_state(
+    rows: DataFrame, columns: Sequence[str] = tuple(STATE_COLUMNS), extra: Sequence[Column] = ()
+) -> DataFrame:
     """One row per machine: the last known value of each field over all topics."""
-    return rows.groupBy("machine_id").agg(F.max("ts").alias("ts"), *[latest_of(c) for c in columns])
+    return rows.groupBy("machine_id").agg(F.max("ts").alias("ts"), *[latest_of(c) for c in columns], *extra)
 
 
 def last_n(rows: DataFrame, n: int) -> DataFrame:

@@ -26,16 +26,9 @@ LAST_VARIANT = {
 PASSES = 11
 
 
-def coded_state(state: DataFrame, codes: Mapping[str, DataFrame]) -> DataFrame:
+def coded_state(state: DataFrame, codes: dict[str, DataFrame]) -> DataFrame:
     """Latest values with the ratios and codes the models were trained on."""
-    rows = align.with_ratios(state)
-    for column, name in (("machine_id", "machine_code"), ("machine_status", "status_code"), ("alarm_code", "alarm_code_no")):
-        rows = align.with_code(rows, column, codes[column], name)
-    return rows
-
-
-def codes_of(rows: DataFrame) -> dict[str, DataFrame]:
-    return {c: align.label_codes(rows, c) for c in ("machine_id", "machine_status", "alarm_code")}
+    return align.coded(align.with_ratios(state), codes)
 
 
 def fit_target(training: DataFrame, target: str, passes: int = PASSES) -> dict[str, LinearModel]:

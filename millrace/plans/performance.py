@@ -15,6 +15,7 @@ from millrace.operators.quantiles import exact_quantiles
 from millrace.operators.scaling import Scaler
 from millrace.operators.state import energy_per_unit_asof, latest_of, latest_state
 from millrace.plans.anomalies import peak_ratio
+from millrace.session import written
 
 PERFORMANCE = ["time_per_unit", "defect_pct", "affinity"]
 ENERGY = ["energy_per_unit", "power_kw", "temperature_c"]
@@ -121,10 +122,13 @@ def hourly_history(aligned: DataFrame) -> DataFrame:
     return rows.select("machine_id", *HOURLY, "power_kw").na.drop()
 
 
+def machine_scales(history: DataFrame) -> DataFrame:
+    return clustering.keyed_scaler(history, "machine_id", HOURLY).where(F.col("samples") >= MIN_SAMPLES)
+
+
 def scaled_history(history: DataFrame) -> DataFrame:
     """History with each machine's own scaling as ``x``; machines with under ten rows drop."""
-    scaler = clustering.keyed_scaler(history, "machine_id", HOURLY).where(F.col("samples") >= MIN_SAMPLES)
-    joined = history.join(scaler, "machine_id")
+    joined = history.join(written(machine_scales(history), "scales"), "machine_id")
     return joined.select("machine_id", "power_kw", clustering.standardised(HOURLY).alias("x"))
 
 
@@ -140,7 +144,7 @@ def energy_forecast(
         "machine_id", "power_kw", clustering.closest(F.col("x"), F.col("centres")).alias("cluster")
     )
     stats = exact_quantiles(placed, ["machine_id", "cluster"], "power_kw", {"p10": 0.1, "p50": 0.5, "p90": 0.9})
-    scaler = clustering.keyed_scaler(history, "machine_id", HOURLY).where(F.col("samples") >= MIN_SAMPLES)
+    scaler = machine_scales(history)
     now = latest.select(
         "machine_id", F.coalesce("temperature_c", F.lit(25.0)).alias("temperature_c"),
         F.coalesce("vibration_mm_s", F.lit(0.0)).alias("vibration_mm_s"),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +15,7 @@ from millrace.functions import clean
 from millrace.operators import fact, linear
 from millrace.operators.linear import Weights
 from millrace.operators.state import latest_state
-from millrace.operators.upsert import insert_new
+from millrace.operators.upsert import KEY, insert_new, upsert
 from millrace.session import written
 from millrace.sources import dimensions
 from millrace.streaming.runs import BatchFolders, Snapshots, per_batch
@@ -89,14 +89,53 @@ def score_ready(state: DataFrame, features: Sequence[str], weights: Weights, dig
     return ready.select("machine_id", "ts", F.round(linear.predicted(features, weights), digits).alias("predicted"))
 
 
-def keep_scores(topics: DataFrame, state: Snapshots, scores: BatchFolders, features: Sequence[str], weights: Weights, digits: int = 2) -> DataStreamWriter:
-    """Each batch merges the latest state and scores the machines it changed."""
+def keep_scores(
+    topics: DataFrame, state: Snapshots, scores: BatchFolders, features: Sequence[str], weights: Weights,
+    digits: int = 2, triggers: Sequence[str] = ("iot", "scada", "mes"),
+) -> DataStreamWriter:
+    """Each batch merges the latest state and scores the machines that reported on a trigger topic.
+
+    The snapshots need a ``trigger_ts`` column: the time of a machine's last trigger event.
+    """
     def score(changed: DataFrame, batch: int) -> None:
-        kept = state.before(batch).join(changed.select("machine_id"), "machine_id", "left_anti")
+        changed = written(changed, "changed")
+        before = state.before(batch)
+        kept = before.join(changed.select("machine_id"), "machine_id", "left_anti")
         state.write(kept.unionByName(changed.select(*kept.columns)), batch)
-        scores.write(score_ready(changed, features, weights, digits), batch)
+        seen = before.select("machine_id", F.col("trigger_ts").alias("_seen"))
+        fresh = changed.join(seen, "machine_id", "left").where(
+            F.col("trigger_ts").isNotNull() & (F.col("_seen").isNull() | (F.col("trigger_ts") > F.col("_seen")))
+        )
+        scores.write(score_ready(fresh, features, weights, digits), batch)
+
+    trigger = F.max(F.when(F.col("topic").isin(*triggers), F.col("ts"))).alias("trigger_ts")
+    return per_batch(latest_state(topics, extra=(trigger,)), score, "update")
+
+
+def keep_upserted(rows: DataFrame, path: str, key: Sequence[str] = KEY) -> DataStreamWriter:
+    """A table by primary key in which the last write wins."""
+    return per_batch(rows, lambda batch_rows, _: upsert(batch_rows, path, key))
+
+
+def first_per_key(rows: DataFrame, key: Sequence[str] = KEY, delay: str = "1 hour") -> DataFrame:
+    """The first row of each key as a stream; copies are recognised within ``delay``."""
+    return rows.withWatermark("ts", delay).dropDuplicatesWithinWatermark(list(key))
+
+
+COUNT_SCHEMA = T.StructType([T.StructField("seen", T.LongType())])
+
+
+def retrain_every(rows: DataFrame, counts: Snapshots, refit: Callable[[int], None], every: int = 50) -> DataStreamWriter:
+    """Call ``refit(batch)`` after each batch in which the number of messages passes a multiple of ``every``."""
+    def count(batch_rows: DataFrame, batch: int) -> None:
+        last = counts.before(batch).first()
+        before = last["seen"] if last else 0
+        seen = before + batch_rows.count()
+        if seen // every > before // every:
+            refit(batch)
+        counts.write(counts.spark.createDataFrame([(seen,)], COUNT_SCHEMA), batch)
 
-    return per_batch(latest_state(topics), score, "update")
+    return per_batch(rows, count)
 
 
 def weight_schema(size: int) -> T.StructType:

@@ -115,3 +115,22 @@ def test_late_rows_drop_from_daily_units(spark, tmp_path):
     runs.replay(runs.to_table(daily, str(tmp_path / "out")), spark, "daily")
     found = {r["day"].day: r["units_produced"] for r in spark.read.schema(daily.schema).parquet(str(tmp_path / "out")).collect()}
     assert found == {1: 51, 5: 107}
+
+
+def test_retraining_follows_the_message_count(spark, parts, tmp_path):
+    counts = runs.Snapshots(spark, str(tmp_path / "counts"), load.COUNT_SCHEMA)
+    fitted = []
+    runs.replay(load.retrain_every(stream(spark, parts), counts, fitted.append, every=500), spark, "retrain")
+    assert counts.latest().first()["seen"] == 1003 and len(fitted) == 2
+
+
+def test_only_trigger_topics_score(spark, parts, tmp_path):
+    schema = T._parse_datatype_string("machine_id string, ts timestamp, predicted double")
+    scored = {}
+    for name, triggers in (("all", ("iot", "scada", "mes")), ("none", ("other",))):
+        state = runs.Snapshots(spark, str(tmp_path / name), streams.SCORED_SCHEMA)
+        scores = runs.BatchFolders(spark, str(tmp_path / f"{name}-scores"), schema)
+        rows = topics(stream(spark, parts))
+        runs.replay(load.keep_scores(rows, state, scores, streams.POWER_INPUTS, streams.WEIGHTS, triggers=triggers), spark, name)
+        scored[name] = scores.read().groupBy("batch").count().collect()
+    assert len(scored["all"]) == 4 and scored["none"] == []
