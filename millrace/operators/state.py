@@ -39,7 +39,7 @@ def latest_metric(metrics: DataFrame) -> DataFrame:
     )
 
 
-def energy_per_unit_asof(rows: DataFrame, slice_s: int = 86_400) -> DataFrame:
+def energy_per_unit_asof(rows: DataFrame, slice_s: int = 3600) -> DataFrame:
     """Each power reading divided by the units last reported before it (null: none yet, or zero)."""
     filled = fill(
         rows.select("machine_id", "ts", "event_id", "power_kw", "units_produced"),
