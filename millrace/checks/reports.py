@@ -670,3 +670,19 @@ def energy_cluster(spark, folder):
     now = performance.energy_state(all_topics(spark, folder)).na.drop()
     model = density.DensityClustering(scaler.transform(rows), ENERGY_FEATURES)
     return performance.energy_cluster(now, scaler, model).drop("energy_cluster")
+
+
+@check("model_metrics_energy")
+def model_metrics_energy(spark, folder):
+    """Energy clusters fitted on all rows against those fitted on the rows before 20 January."""
+    rows, scaler = energy_points(spark, folder)
+    early = feed(spark, folder, "mes").where(F.col("ts") < F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")).select("event_id")
+    scaled = written(scaler.transform(rows), "scaled")
+    qualities = []
+    for part in (scaled.join(early, "event_id", "left_semi"), scaled):
+        labels = density.DensityClustering(part, ENERGY_FEATURES).labels().withColumnRenamed("id", "event_id")
+        labelled = part.join(labels, "event_id").select(*ENERGY_FEATURES, F.col("label").alias("cluster"))
+        qualities.append(written(performance.cluster_quality(written(labelled, "labelled"), ENERGY_FEATURES), "quality"))
+    graded = performance.health(qualities[1], energy=True)
+    lines = performance.drift(*qualities, energy=True).select(F.lit("energy").alias("model"), "*")
+    return lines.select("*", *[graded.select(c).scalar().alias(c) for c in graded.columns])

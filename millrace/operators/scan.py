@@ -4,7 +4,9 @@ A plain ``partitionBy(key)`` window puts the whole history of a key into one tas
 cut along its ordering axis into slices; each slice is scanned on its own, one summary row per
 slice is scanned next, and the summary is added to the rows of the slice. A task sorts one slice,
 or the summaries of one key, whose number depends on the length of the axis and not on the
-number of rows.
+number of rows. The order must be unique within a key: for tables kept by machine and time that
+bounds a slice by its width. Collapse repeated keys first (``upsert.last_per_key``), which combines
+copies on the map side.
 """
 
 from __future__ import annotations
