@@ -35,6 +35,28 @@ for _report, _sql in MART_SQL.items():
         check(f"{_report}_{_grain}", _sql.format(p=_period), digits=4)(partial(_mart, _report, _grain))
 
 
+ALL_MARTS_SQL = " UNION ALL ".join(
+    f"SELECT '{report}' AS report, '{grain}' AS grain, {'NULL' if report == 'plant_power' else 'machine_id'} AS machine_id, CAST(period AS VARCHAR) AS period, "
+    f"CAST({column} AS DOUBLE) AS value FROM ({MART_SQL[report].format(p=period)})"
+    for report, column in marts.VALUE_OF.items() for grain, period in PERIOD_SQL.items())
+
+
+@check("all_marts", ALL_MARTS_SQL, doubles="value", digits=2)
+def all_marts(spark, folder):
+    """All fifteen marts from one pass over the fact table."""
+    sums, out = written(marts.daily_sums(whole_fact(spark, folder)), "sums"), None
+    for report, value in marts.VALUE_OF.items():
+        for grain in marts.GRAINS:
+            rows = marts.from_daily(sums, report, grain)
+            machine = F.col("machine_id") if "machine_id" in rows.columns else F.lit(None).cast("int")
+            part = rows.select(
+                F.lit(report).alias("report"), F.lit(grain).alias("grain"), machine.alias("machine_id"),
+                F.col("period").cast("string").alias("period"), F.col(value).cast("double").alias("value"),
+            )
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
 # --- aggregates
 
 

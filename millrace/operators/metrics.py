@@ -41,6 +41,7 @@ def regression(df: DataFrame, actual: str, predicted: str) -> DataFrame:
 def classification(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     """Accuracy and precision, recall and F1 weighted by class support; an undefined ratio counts 0."""
     cells = df.groupBy(F.col(actual).alias("y"), F.col(predicted).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    cells = written(cells, "confusion")
     hit = F.when(F.col("y") == F.col("p"), F.col("n")).otherwise(F.lit(0))
     truth = cells.groupBy("y").agg(F.sum("n").alias("support"), F.sum(hit).alias("hits"))
     guesses = cells.groupBy("p").agg(F.sum("n").alias("guessed"))
@@ -100,12 +101,14 @@ def _distance(a: Column, b: Column) -> Column:
 
 def calinski_harabasz(df: DataFrame, features: Sequence[str], cluster: str = "cluster") -> DataFrame:
     """Spread between against spread within clusters, from per-cluster sums; null below two clusters."""
-    overall = df.agg(*[F.avg(c).alias(c) for c in features]).select(F.struct(*features).alias("o"))
     per = df.groupBy(cluster).agg(
         F.count(F.lit(1)).cast("double").alias("n"),
         *[F.avg(c).alias(f"m_{c}") for c in features],
         *[F.var_pop(c).alias(f"v_{c}") for c in features],
-    ).withColumn("o", overall.scalar())
+    )
+    per = written(per, "clusters")
+    overall = per.agg(*[(F.sum(F.col("n") * F.col(f"m_{c}")) / F.sum("n")).alias(c) for c in features])
+    per = per.withColumn("o", overall.select(F.struct(*features).alias("o")).scalar())
     within = F.col("n") * _total([F.col(f"v_{c}") for c in features])
     between = F.col("n") * _total([(F.col(f"m_{c}") - F.col(f"o.{c}")) ** 2 for c in features])
     sums = per.agg(

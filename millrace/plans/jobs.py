@@ -29,15 +29,21 @@ def build_fact(iot: DataFrame, scada: DataFrame, mes: DataFrame, require_mes: bo
 def refresh_marts(table: DataFrame, folder: str, since: str | None = None) -> None:
     """Write every mart, or only the periods that hold days from ``since`` on.
 
-    ``table`` is partitioned by day, so a refresh reads the days of the touched periods only.
+    The fact table (partitioned by day) is read once, for the changed days only, into a table of
+    daily sums; the marts are built from that.
     """
-    for report, build in marts.MARTS.items():
-        for grain in marts.GRAINS:
-            rows = table
-            if since is not None:
-                rows = rows.where(F.col("day") >= F.trunc(F.lit(since).cast("date"), grain) if grain != "day" else F.col("day") >= F.lit(since).cast("date"))
-            writer = build(rows, grain).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            writer.partitionBy("period").parquet(f"{folder}/{report}_{grain}")
+    spark, base = table.sparkSession, f"{folder}/daily_sums"
+    changed = table if since is None else table.where(F.col("day") >= F.lit(since).cast("date"))
+    _replace(marts.daily_sums(changed), base, "day")
+    sums = spark.read.parquet(base)
+    for grain in marts.GRAINS:
+        rows = sums if since is None else sums.where(F.col("day") >= F.date_trunc(grain, F.lit(since).cast("timestamp")).cast("date"))
+        for report in marts.MARTS:
+            _replace(marts.from_daily(rows, report, grain), f"{folder}/{report}_{grain}", "period")
+
+
+def _replace(rows: DataFrame, path: str, partition: str) -> None:
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
 
 def numbered(rows: DataFrame) -> DataFrame:

@@ -44,8 +44,9 @@ class FactLoader:
     from shortly before its own oldest row on. Every step can be repeated for the same batch.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, table: str):
-        self.spark, self.table = spark, table
+    def __init__(self, spark: SparkSession, folder: str, table: str, after: Callable[[str], None] | None = None):
+        """``after`` is called with the first day a batch may have changed, for example to refresh marts."""
+        self.spark, self.table, self.after = spark, table, after
         self.staged = BatchFolders(spark, f"{folder}/rows", TOPIC_SCHEMA)
         self.marks = Snapshots(spark, f"{folder}/marks", MARK_SCHEMA)
 
@@ -65,6 +66,8 @@ class FactLoader:
         fused = fact.fuse(parts["iot"].where(settled), parts["mes"], parts["scada"])
         seeds = [dimensions.seed(self.spark, name) for name in ("machine_status", "alarm_codes")]
         insert_new(fact.enrich(fused, *seeds), self.table, version=("temperature_c",))
+        if self.after is not None:
+            self.after((low - ONE_DAY).date().isoformat())
         self.marks.write(self.spark.createDataFrame([(high,)], MARK_SCHEMA), batch)
 
     def writer(self, topics: DataFrame) -> DataStreamWriter:

@@ -11,6 +11,7 @@ from millrace.operators import affinity, fact
 from millrace.operators import state as latest
 from millrace.operators.asof import nearest_within
 from millrace.operators.upsert import read_table
+from millrace.plans import jobs, marts
 from millrace.sources import events
 from millrace.streaming import load, runs
 from millrace.streaming import state as kept
@@ -56,13 +57,21 @@ def test_nearest_over_batches(spark, parts, tmp_path):
 
 
 def test_fact_load_over_batches(spark, parts, tmp_path):
-    loader = load.FactLoader(spark, str(tmp_path / "staging"), str(tmp_path / "fact"))
+    folder, table = str(tmp_path / "marts"), str(tmp_path / "fact")
+
+    def refresh(since):
+        if (tmp_path / "fact").exists():
+            jobs.refresh_marts(spark.read.parquet(table), folder, since)
+
+    loader = load.FactLoader(spark, str(tmp_path / "staging"), table, refresh)
     runs.replay(loader.writer(topics(stream(spark, parts))), spark, "load")
+    kept_mart = spark.read.parquet(f"{folder}/units_month").select("machine_id", "units_produced")
     iot, scada, mes = (view(events.read_events(spark, FOLDER)) for view in (events.iot, events.scada, events.mes))
     want = fact.enrich(fact.fuse(iot, mes, scada), *streams._seeds(spark))
     schema = T.StructType([T.StructField(f.name, T.TimestampType()) if f.name == "ts" else f for f in want.schema.fields])
     got = read_table(spark, loader.table, schema).drop("day")
     assert plain(got, False) == plain(want, False)
+    assert plain(kept_mart, False) == plain(marts.units(want, "month").select("machine_id", "units_produced"), False)
     before = got.count()
     loader.load(topics(events.read_events(spark, FOLDER).withColumn("ts", F.col("ts").cast("timestamp"))), 2)
     assert read_table(spark, loader.table, schema).count() == before
