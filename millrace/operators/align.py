@@ -39,20 +39,6 @@ def forward_fill(rows: DataFrame, columns: Sequence[str] | None = None, slice_s:
     return filled.select(*rows.columns)
 
 
-def label_codes(rows: DataFrame, column: str) -> DataFrame:
-    """The distinct values of a column and their rank in text order, from 0.
-
-    The ranking sorts the distinct values only; it is meant for dictionary columns.
-    """
-    values = rows.where(F.col(column).isNotNull()).select(F.col(column).alias("value")).distinct()
-    return values.select("value", (F.row_number().over(Window.orderBy("value")) - 1).alias("code"))
-
-
-def with_code(rows: DataFrame, column: str, codes: DataFrame, name: str) -> DataFrame:
-    named = codes.select(F.col("value").alias(column), F.col("code").cast("double").alias(name))
-    return rows.join(named, column, "left").select(*rows.columns, name)
-
-
 POWER_FEATURES = [
     "machine_code", "temperature_c", "vibration_mm_s", "pressure_bar", "status_code", "alarm_code_no", "throughput",
     "defect_rate",
@@ -75,35 +61,36 @@ def with_ratios(rows: DataFrame) -> DataFrame:
 CODE_NAMES = {"machine_id": "machine_code", "machine_status": "status_code", "alarm_code": "alarm_code_no"}
 
 
-def codes(scada: DataFrame, *others: DataFrame) -> dict[str, DataFrame]:
-    """Code tables of machines (over all feeds), states and alarms, taken before the feeds are joined.
+def codes(scada: DataFrame, *others: DataFrame) -> DataFrame:
+    """(``column``, ``value``, ``code``): the rank of each value in text order, from 0.
 
-    They are written first: the planner then knows their size and broadcasts them if they are small,
-    instead of shuffling all rows by a column of few values.
+    Machines are taken over all feeds, states and alarms from ``scada``, before the feeds are
+    joined. The table is written first: the planner then knows its size and broadcasts it if it is
+    small, instead of shuffling all rows by a column of few values.
     """
-    machines = scada.select("machine_id")
+    entries = [F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in CODE_NAMES]
+    found = scada.select(F.inline(F.array(*entries)))
     for rows in others:
-        machines = machines.union(rows.select("machine_id"))
-    return {
-        "machine_id": written(label_codes(machines, "machine_id"), "codes"),
-        "machine_status": written(label_codes(scada, "machine_status"), "codes"),
-        "alarm_code": written(label_codes(scada, "alarm_code"), "codes"),
-    }
+        found = found.union(rows.select(F.lit("machine_id"), "machine_id"))
+    values = found.where("value is not null").distinct()
+    rank = F.row_number().over(Window.partitionBy("column").orderBy("value")) - 1
+    return written(values.withColumn("code", rank.cast("double")), "codes")
 
 
-def coded(rows: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
-    """Machine, state and alarm text as numbers, classes in text order."""
+def coded(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """Add the codes of machine, state and alarm; an unknown value gets null."""
     for column, name in CODE_NAMES.items():
-        rows = with_code(rows, column, tables[column], name)
+        named = table.where(F.col("column") == column).select(F.col("value").alias(column), F.col("code").alias(name))
+        rows = rows.join(named, column, "left").select(*rows.columns, name)
     return rows
 
 
-def features(scada: DataFrame, iot: DataFrame, mes: DataFrame, tables: dict[str, DataFrame] | None = None) -> DataFrame:
+def features(scada: DataFrame, iot: DataFrame, mes: DataFrame, table: DataFrame | None = None) -> DataFrame:
     """Aligned, filled and coded rows with the derived ratios; incomplete rows stay (see ``complete``).
 
-    ``tables`` are the code tables of the raw feeds; without them they come from the given rows.
+    ``table`` holds the codes of the raw feeds; without it they come from the given rows.
     """
-    return with_ratios(coded(forward_fill(outer(scada, iot, mes)), tables or codes(scada, iot, mes)))
+    return with_ratios(coded(forward_fill(outer(scada, iot, mes)), codes(scada, iot, mes) if table is None else table))
 
 
 def complete(rows: DataFrame, columns: Sequence[str]) -> DataFrame:

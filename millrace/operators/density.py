@@ -20,14 +20,17 @@ from millrace.operators.components import connected_components
 from millrace.session import written
 
 NOISE = -1
-# Pairs of boxes with at most this many point pairs are compared point by point.
-DIRECT_PAIRS = 256
+# Pairs of boxes with at most this many point pairs are compared point by point, as are boxes halved
+# so often that their points differ by rounding only.
+DIRECT_PAIRS, FINEST = 256, 40
 
 
 class DensityClustering:
     """Steps of one fit over ``rows`` (an ``id`` and numeric features without nulls)."""
 
     def __init__(self, rows: DataFrame, features: Sequence[str], eps: float = 0.5, min_points: int = 5, id_: str = "event_id"):
+        if len(features) > 4:
+            raise ValueError("the grid suits up to four features")
         self.features = list(features)
         self.eps, self.min_points = float(eps), min_points
         # Feature values are join keys below, so they are fixed by writing them once.
@@ -137,7 +140,7 @@ class DensityClustering:
             open_pairs = written(open_pairs, "pairs")
             met = open_pairs.where(F.col("far") <= limit).select("a", "b").distinct()
             rest = open_pairs.where(F.col("far") > limit).join(met, ["a", "b"], "left_anti")
-            small = F.col("count_a") * F.col("count_b") <= DIRECT_PAIRS
+            small = (F.col("count_a") * F.col("count_b") <= DIRECT_PAIRS) | F.lit(level >= FINEST)
             parts = cores.withColumn("part", self._part(level))
             direct = rest.where(small).select("a", "b", "part_a", "part_b")
             direct = direct.join(parts.select(F.col("part").alias("part_a"), F.col("x").alias("p")), "part_a")

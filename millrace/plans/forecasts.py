@@ -26,7 +26,7 @@ LAST_VARIANT = {
 PASSES = 11
 
 
-def coded_state(state: DataFrame, codes: dict[str, DataFrame]) -> DataFrame:
+def coded_state(state: DataFrame, codes: DataFrame) -> DataFrame:
     """Latest values with the ratios and codes the models were trained on."""
     return align.coded(align.with_ratios(state), codes)
 

@@ -41,7 +41,7 @@ class FactLoader:
 
     A sensor row is loaded when an event at least the largest tolerance newer has been seen; by
     then, for input in time order, its nearest rows have arrived. A batch reads only the days
-    from shortly before its own oldest row on. Every step can be repeated for the same batch.
+    from shortly before its oldest unsettled row on. Every step can be repeated for the same batch.
     """
 
     def __init__(self, spark: SparkSession, folder: str, table: str, after: Callable[[str], None] | None = None):
@@ -58,7 +58,8 @@ class FactLoader:
         self.staged.write(arriving, batch)
         mark = self.marks.before(batch).first()
         high = newest if mark is None else max(newest, mark["newest"])
-        low = oldest - SETTLE
+        # From the rows that were not settled before, or from a late row of this batch, on.
+        low = oldest if mark is None else min(oldest, mark["newest"] - SETTLE)
         staged = self.staged.read(since=(low - SETTLE - ONE_DAY).date().isoformat())
         staged = staged.where(F.col("ts").between(F.lit(low - SETTLE), F.lit(high)))
         parts = {t: staged.where(F.col("topic") == t).select(*FEED_KEY, *schemas.FEED_COLUMNS[t]) for t in schemas.FEED_COLUMNS}

@@ -77,6 +77,24 @@ def test_fact_load_over_batches(spark, parts, tmp_path):
     assert read_table(spark, loader.table, schema).count() == before
 
 
+def test_rows_left_unsettled_load_after_a_gap(spark, tmp_path):
+    """A later batch also loads what an earlier one had to leave, however far apart they are."""
+    def event(event_id, ts, kind):
+        return spark.createDataFrame([(event_id, ts, 0, kind, 0.0, '{"k": 50}')], events.EVENT_SCHEMA)
+
+    def batch(*rows):
+        out = rows[0]
+        for r in rows[1:]:
+            out = out.unionByName(r)
+        return topics(out.withColumn("ts", F.col("ts").cast("timestamp")))
+
+    loader = load.FactLoader(spark, str(tmp_path / "staging"), str(tmp_path / "fact"))
+    loader.load(batch(event(1, dt.datetime(2024, 1, 1, 9, 50), "click"), event(2, dt.datetime(2024, 1, 1, 9, 55), "purchase")), 0)
+    loader.load(batch(event(3, dt.datetime(2024, 1, 3, 20), "error")), 1)
+    rows = spark.read.parquet(str(tmp_path / "fact")).collect()
+    assert [(r["machine_id"], r["units_produced"]) for r in rows] == [(1, 52)]
+
+
 def test_state_over_batches(spark, parts, tmp_path):
     snapshots = runs.Snapshots(spark, str(tmp_path / "state"), streams.STATE_SCHEMA)
     rows = topics(stream(spark, parts)).where("event_id >= 0")
