@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import quality, shards, sql
+from millrace.llm import neardup, phrases, quality, shards, sql
 from millrace.llm.text import documents, small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +35,13 @@ def _quality(spark, folder):
 @query("op10_shards", sql.shards())
 def _shards(spark, folder):
     return shards.shard_documents(documents(spark, folder))
+
+
+@query("op6_minhash_dedup", sql.near_duplicates())
+def _near_duplicates(spark, folder):
+    return neardup.near_duplicates(documents(spark, folder))
+
+
+@query("op8_substring_dedup", sql.substring_dedup())
+def _substring_dedup(spark, folder):
+    return phrases.dedup_digests(documents(spark, folder))

@@ -108,3 +108,52 @@ def quality_rules(rounds: int = 60) -> str:
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
         NOT base_failed AND posterior >= 0.5 AS kept, round(posterior, 4) + 0.0 AS posterior
     FROM judged"""
+
+
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def near_duplicates() -> str:
+    """Every pair that shares a shingle, compared on full sets; components by repeated least labels."""
+    return f"""
+    WITH RECURSIVE w AS (
+        SELECT doc_id, {word_list(LOWER.replace("coalesce(text, '')", "text"))} AS words FROM documents
+    ), sets AS MATERIALIZED (
+        SELECT doc_id, CASE WHEN len(words) = 0 THEN [] ELSE list_sort(list_distinct(list_transform(
+            range(1, greatest(len(words) - 3, 2)), lambda i: array_to_string(words[i:i + 4], ' ')))) END AS shingles
+        FROM w
+    ), classes AS MATERIALIZED (
+        SELECT min(doc_id) AS node, shingles, row_number() OVER () AS number FROM sets WHERE len(shingles) > 0 GROUP BY shingles
+    ), members AS MATERIALIZED (SELECT node, unnest(shingles) AS shingle FROM classes
+    ), both_have AS (
+        SELECT a.node AS u, b.node AS v, count(*) AS n FROM members a JOIN members b USING (shingle) WHERE a.node < b.node GROUP BY ALL
+    ), links AS MATERIALIZED (
+        SELECT u, v FROM both_have JOIN classes x ON x.node = u JOIN classes y ON y.node = v
+        WHERE 100 * n >= 75 * (len(x.shingles) + len(y.shingles) - n)
+        UNION SELECT doc_id, node FROM sets JOIN classes USING (shingles) WHERE doc_id <> node
+    ), edges AS MATERIALIZED (SELECT u, v FROM links UNION SELECT v, u FROM links
+    ), reach AS (
+        SELECT doc_id AS node, doc_id AS root FROM sets
+        UNION SELECT v, root FROM reach JOIN edges ON u = node
+    ), roots AS (SELECT node, min(root) AS root FROM reach GROUP BY node)
+    SELECT doc_id, len(shingles)::BIGINT AS n_shingles, root AS component_id, root = doc_id AS kept
+    FROM sets JOIN roots ON node = doc_id"""
+
+
+def substring_dedup(window: int = 50) -> str:
+    return f"""
+    WITH w AS MATERIALIZED (SELECT doc_id, {word_list("text")} AS words FROM documents
+    ), windows AS MATERIALIZED (
+        SELECT doc_id, i, md5(array_to_string(words[i:i + {window - 1}], ' ')) AS h
+        FROM (SELECT doc_id, words, unnest(range(1, len(words) - {window - 2})) AS i FROM w)
+    ), firsts AS (SELECT h, min(doc_id) AS first FROM windows GROUP BY h
+    ), gone AS MATERIALIZED (
+        SELECT DISTINCT doc_id, i + k AS i FROM windows JOIN firsts USING (h), (SELECT unnest(range({window})) AS k) WHERE first < doc_id
+    ), placed AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM w
+    ), kept AS (
+        SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS text
+        FROM placed ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+    )
+    SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+        sha256(coalesce(kept.text, '')) AS kept_sha256
+    FROM w LEFT JOIN kept USING (doc_id)"""
