@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import neardup, phrases, quality, shards, sql
+from millrace.llm import neardup, packing, phrases, quality, shards, sql
 from millrace.llm.text import documents, small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,8 @@ def _near_duplicates(spark, folder):
 @query("op8_substring_dedup", sql.substring_dedup())
 def _substring_dedup(spark, folder):
     return phrases.dedup_digests(documents(spark, folder))
+
+
+@query("op4_best_fit_packing")
+def _packing(spark, folder):
+    return packing.pack(documents(spark, folder))
