@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import neardup, packing, phrases, quality, shards, sql
+from millrace.llm import decontaminate, neardup, packing, phrases, quality, shards, sql
 from millrace.llm.text import documents, small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +50,8 @@ def _substring_dedup(spark, folder):
 @query("op4_best_fit_packing")
 def _packing(spark, folder):
     return packing.pack(documents(spark, folder))
+
+
+@query("op1_decontaminate")
+def _decontaminate(spark, folder):
+    return decontaminate.leaks(documents(spark, folder), documents(spark, folder, "benchmark"))

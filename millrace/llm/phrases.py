@@ -202,7 +202,8 @@ def marked(docs: DataFrame, whole: bool) -> DataFrame:
     keyed = _keyed(docs)
     texts = keyed.select("ord", "h1", F.col("text").cast("binary").alias("text"))
     found = stored(texts.mapInArrow(_anchor_rows, "anchor long, ord long, h1 long, position int"), "anchors")
-    shared = found.groupBy("anchor").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a <> b").select("anchor")
+    shared = found.groupBy("anchor").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a <> b")
+    shared = stored(shared.select("anchor"), "shared")  # as files, so that a common anchor's rows can be split in the join
     marks = stored(found.join(shared, "anchor"), "marks")
     ids = keyed.select("ord", "h1", "h2")
     first = ids.groupBy("h1", "h2").agg(F.min("ord").alias("first"), F.max("ord").alias("last")).where("first < last")
@@ -241,7 +242,8 @@ def occurrences(candidates: DataFrame, marks: DataFrame) -> DataFrame:
     total = passages.agg(F.sum(F.octet_length("passage"))).first()[0] or 0
     shards = 1 + total // SHARD_BYTES
     passages = passages.withColumn("shard", F.pmod(F.xxhash64("owner"), F.lit(shards)).cast("int"))
-    at = passages.select(F.explode("anchors").alias("anchor"), "shard", "owner").groupBy("anchor", "shard").agg(F.min("owner").alias("owner"))
+    at = passages.select(F.explode("anchors").alias("anchor"), "shard", "owner")
+    at = stored(at.groupBy("anchor", "shard").agg(F.min("owner").alias("owner")), "places")
     routes = stored(
         marks.select("anchor", "ord", "h1").join(at, "anchor").where("owner < ord").select("shard", "ord", "h1").distinct(), "routes"
     )
