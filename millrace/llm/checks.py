@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontaminate, neardup, packing, phrases, quality, shards, sql
+from millrace.llm import compression, decontaminate, neardup, packing, phrases, quality, shards, sql
 from millrace.llm.text import documents, small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,8 @@ def _packing(spark, folder):
 @query("op1_decontaminate")
 def _decontaminate(spark, folder):
     return decontaminate.leaks(documents(spark, folder), documents(spark, folder, "benchmark"))
+
+
+@query("op3_quality_classifier")
+def _quality_classifier(spark, folder):
+    return compression.score_documents(documents(spark, folder), documents(spark, folder, "labels"))
