@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import compression, decontaminate, neardup, packing, phrases, quality, shards, sql
+from millrace.llm import compression, decontaminate, interpolation, neardup, packing, phrases, quality, shards, sql
 from millrace.llm.text import documents, small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,8 @@ def _decontaminate(spark, folder):
 @query("op3_quality_classifier")
 def _quality_classifier(spark, folder):
     return compression.score_documents(documents(spark, folder), documents(spark, folder, "labels"))
+
+
+@query("op9_lm_score")
+def _lm_score(spark, folder):
+    return interpolation.score_documents(documents(spark, folder))

@@ -36,8 +36,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Rows per Arrow batch for whole texts: memory of a task stays at some hundred texts."""
+    """Arrow batches for whole texts: some hundred rows and some megabytes at a time, however long the texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
 def partitions(spark: SparkSession) -> int:
