@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import compression, decontaminate, interpolation, neardup, packing, phrases, quality, shards, sql
+from millrace.llm import compression, decontaminate, interpolation, neardup, packing, pages, phrases, quality, shards, sql
 from millrace.llm.text import documents, small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,8 @@ def _quality_classifier(spark, folder):
 @query("op9_lm_score")
 def _lm_score(spark, folder):
     return interpolation.score_documents(documents(spark, folder))
+
+
+@query("op7_html_text")
+def _html_text(spark, folder):
+    return pages.extract(documents(spark, folder, "pages"))
