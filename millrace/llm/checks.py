@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import compression, decontaminate, interpolation, neardup, packing, pages, phrases, quality, shards, sql
+from millrace.llm import compression, decontaminate, interpolation, licences, neardup, packing, pages, phrases, quality, shards, sql
 from millrace.llm.text import documents, small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,8 @@ def _lm_score(spark, folder):
 @query("op7_html_text")
 def _html_text(spark, folder):
     return pages.extract(documents(spark, folder, "pages"))
+
+
+@query("op5_license_scan")
+def _license_scan(spark, folder):
+    return licences.scan(documents(spark, folder))
