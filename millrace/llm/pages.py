@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,8 +44,6 @@ CONCEALED = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?(?:false|until))|display\s*:\
 OUTSIDE, MAIN, ARTICLE = 0, 1, 2
 LINKED = 4  # added where most of a line is link text
 
-LINES_DDL = "page_id long, url string, lines array<string>, kinds array<int>, hashes array<long>"
-
 
 def lines(page: str) -> tuple[list[str], list[int]]:
     """The page's lines (blocks) without what its markup calls something else, and where each stands.
@@ -188,21 +187,32 @@ def main_text(own: list[str], kinds: list[int], hashes: list[int], others: list[
     return "\n".join(kept)
 
 
-def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([
-        ("page_id", pa.int64()), ("url", pa.string()), ("lines", pa.list_(pa.string())), ("kinds", pa.list_(pa.int32())), ("hashes", pa.list_(pa.int64())),
-    ])
+def _outlines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows in batches:
+        hashes = [[xxhash.xxh64_intdigest(x) - 2**63 for x in lines(page or "")[0]] for page in rows.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(hashes, pa.list_(pa.int64()))], names=["k", "hashes"])
+
+
+def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines packed small, as they are shuffled once."""
+    pack = zstandard.ZstdCompressor(level=3)
     for rows in batches:
-        found = [lines(page or "") for page in rows.column(2).to_pylist()]
-        hashes = [[xxhash.xxh64_intdigest(x) - 2**63 for x in own] for own, _ in found]
-        columns = (rows.column(0), rows.column(1), [f[0] for f in found], [f[1] for f in found], hashes)
-        yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+        found = [lines(page or "") for page in rows.column(3).to_pylist()]
+        packed = [pack.compress("\n".join(own).encode("utf-8", "surrogatepass")) for own, _ in found]
+        yield pa.RecordBatch.from_arrays(
+            [rows.column(0), rows.column(1), rows.column(2), pa.array(packed, pa.binary()), pa.array([k for _, k in found], pa.list_(pa.int32()))],
+            names=["k", "page_id", "url", "packed", "kinds"],
+        )
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    unpack = zstandard.ZstdDecompressor()
     for rows in batches:
-        columns = [rows.column(n).to_pylist() for n in ("lines", "kinds", "hashes", "others")]
-        texts = [main_text(own, kinds, hashes, others or []) for own, kinds, hashes, others in zip(*columns)]
+        texts = []
+        for packed, kinds, others in zip(*(rows.column(n).to_pylist() for n in ("packed", "kinds", "others"))):
+            own = unpack.decompress(packed).decode("utf-8", "surrogatepass").split("\n") if kinds else []
+            hashes = [xxhash.xxh64_intdigest(x) - 2**63 for x in own]
+            texts.append(main_text(own, kinds, hashes, others or []))
         yield pa.RecordBatch.from_arrays(
             [rows.column("page_id"), rows.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
             names=["page_id", "url", "text", "n_chars"],
@@ -234,14 +244,18 @@ def neighbours(keyed: DataFrame) -> DataFrame:
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every row of ``pages`` (page_id, url, html).
 
-    A null page is empty. Pages without a host in their URL are paired with none. Repeated rows
-    are pages of their own; a copy of a page is no evidence against it. No rows: no rows.
+    A null page is empty. Pages without a host in their URL are paired with none. Rows that repeat
+    in all columns count as one when pages are paired and come out as often as they went in; a copy
+    of a page is no evidence against it. Pages are parsed twice, first for the hashes of their
+    lines alone, so that whole texts are shuffled once. No rows: no rows.
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    parsed = stored(rows.mapInArrow(_lines, LINES_DDL).withColumn("k", F.monotonically_increasing_id()), "lines")
+    rows = rows.select(F.xxhash64("page_id", "url", "html").alias("k"), "page_id", "url", "html")
     host = F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)", 1))
     path = F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+([^?#]*)", 1)
-    keyed = parsed.select(host.alias("host"), path.alias("path"), "k").where("host <> ''")
-    pairs = neighbours(keyed)
-    others = pairs.join(parsed.select(F.col("k").alias("other"), "hashes"), "other").groupBy("k").agg(F.collect_list("hashes").alias("others"))
-    return parsed.join(others, "k", "left").drop("k").mapInArrow(_texts, "page_id long, url string, text string, n_chars long")
+    keyed = rows.select("k", host.alias("host"), path.alias("path")).where("host <> ''").distinct()
+    outlines = rows.where(host != "").select("k", "html").mapInArrow(_outlines, "k long, hashes array<long>")
+    outlines = stored(outlines.dropDuplicates(["k"]).select(F.col("k").alias("other"), "hashes"), "outlines")
+    others = neighbours(keyed).join(outlines, "other").groupBy("k").agg(F.collect_list("hashes").alias("others"))
+    parsed = rows.mapInArrow(_parsed, "k long, page_id long, url string, packed binary, kinds array<int>")
+    return parsed.join(stored(others, "others"), "k", "left").drop("k").mapInArrow(_texts, "page_id long, url string, text string, n_chars long")
