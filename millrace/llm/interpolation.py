@@ -15,8 +15,9 @@ from millrace.llm.text import WordHashes, held_out, mixed, partitions, stored
 
 PARTS, HELD_OUT = 10, 0
 ADDED = 0.1  # of the base model
-BLOCK_BYTES = 8_000_000  # of text that is counted together before the shuffle
+BLOCK_BYTES = 4_000_000  # of text that is counted together before the shuffle
 BUCKET_KEYS = 1_000_000  # keys whose counts one step merges, about
+KNOWN = 250_000  # words whose hash a task remembers
 CONTEXTS = 48  # buckets of contexts: unseen, then by the binary logarithm of their count
 STEP = 0.25  # of the binary logarithms of the chances in a cell
 
@@ -94,7 +95,7 @@ class Block:
 
 def _ask(shift: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes = WordHashes(limit=KNOWN)
         for rows in batches:
             for number, train, lengths, texts in zip(*(c.to_pylist() for c in rows.columns)):
                 block = Block(hashes, train, lengths, texts)
@@ -154,7 +155,7 @@ def _counted(rows: pa.RecordBatch, starts: int, hashes: WordHashes):
 def _cells(tokens: int, types: int, starts: int):
     """Training tokens by context bucket and by their chances when the token itself is left out of the counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes = WordHashes(limit=KNOWN)
         for rows in batches:
             for _, block, word, pair, context in _counted(rows, starts, hashes):
                 word, pair, context = (c[block.train] - 1 for c in (word, pair, context))
@@ -199,7 +200,7 @@ def weights(cells: np.ndarray, n: np.ndarray, rounds: int = 500) -> np.ndarray:
 
 def _scores(tokens: int, types: int, starts: int, mix: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes = WordHashes(limit=KNOWN)
         for rows in batches:
             for ids, block, word, pair, context in _counted(rows, starts, hashes):
                 w = mix[contexts(context)]
