@@ -11,12 +11,12 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.text import held_out
+from millrace.llm.text import held_out, stored
 
 PARTS, HELD_OUT = 3, 1  # rows whose crc32 of the id leaves 1 of 3 are never learned from
 SAMPLE_BYTES = 6_000_000  # of labelled text per class for the dictionaries
 PIECE = 4096  # characters; long texts count by their pieces, so that none fills the sample
-CALIBRATION_ROWS = 20_000  # labelled rows that the curve is fitted on
+LABEL_ROWS = 4000  # labelled ids per class for the dictionaries, and as many for the curve
 DICTIONARY_BYTES = 262_144
 LEVEL = 3
 FEATURES = ("by_sum", "by_size", "repeated")
@@ -59,19 +59,31 @@ class Sizes:
         return (bad - good) / max(1, bad + good), (bad - good) / max(1, len(raw)), repeated
 
 
-def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, quality, draw) of the rows that may be learned from; a document with several labels counts once for each."""
+def sample(labels: DataFrame) -> DataFrame:
+    """(id, quality, draw): labelled ids that may be learned from, by hash; at most ``LABEL_ROWS`` per class and use.
+
+    An even draw is for the dictionaries, an odd one for the curve. An id with both labels counts for each.
+    """
     known = labels.where("quality IN (0, 1) AND doc_id IS NOT NULL").select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")
-    ).distinct().where(~held_out(F.col("doc_id"), PARTS, HELD_OUT))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text IS NOT NULL")
-    return rows.join(known, "doc_id").select("text", "quality", F.xxhash64("doc_id", "text").alias("draw"))
+        F.col("doc_id").cast("long").alias("id"), F.col("quality").cast("int").alias("quality")
+    ).where(~held_out(F.col("id"), PARTS, HELD_OUT)).distinct().withColumn("draw", F.xxhash64("id"))
+    parts = [
+        known.where((F.col("quality") == q) & (F.pmod("draw", F.lit(2)) == use)).orderBy("draw", "id").limit(LABEL_ROWS)
+        for q in (0, 1) for use in (0, 1)
+    ]
+    return stored(parts[0].union(parts[1]).union(parts[2]).union(parts[3]), "sample")
+
+
+def labelled(docs: DataFrame, drawn: DataFrame) -> DataFrame:
+    """(text, quality, draw) of the sampled rows. The sample has at most 4 times ``LABEL_ROWS`` ids, so it is broadcast."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), "text").where("text IS NOT NULL")
+    return rows.join(F.broadcast(drawn), "id").select("text", "quality", F.xxhash64("draw", "text").alias("draw"))
 
 
 def _pieces(rows: DataFrame) -> DataFrame:
-    """Whole texts, cut into pieces, by the half of the draw that the dictionaries get."""
+    """Whole texts, cut into pieces, so that a long one does not fill the sample."""
     at = F.sequence(F.lit(0), F.greatest(F.lit(0), (F.length("text") - 1) / PIECE).cast("int"))
-    pieces = rows.where("pmod(draw, 2) = 0").select("quality", "draw", "text", F.posexplode(at).alias("k", "n"))
+    pieces = rows.select("quality", "draw", "text", F.explode(at).alias("k"))
     return pieces.select("quality", F.substring("text", F.col("k") * PIECE + 1, F.lit(PIECE)).alias("piece"), F.xxhash64("draw", "k").alias("draw"))
 
 
@@ -137,21 +149,19 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     most ``CALIBRATION_ROWS`` rows or so, all drawn by hash. Without labels of both classes the
     score is 0.5 or the one class's share.
     """
-    rows = labelled(docs, labels)
-    pieces = _pieces(rows)
+    drawn = sample(labels)
+    even = F.pmod("draw", F.lit(2)) == 0
+    pieces = stored(_pieces(labelled(docs, drawn.where(even))), "pieces")
     totals = {
         r["quality"]: r["bytes"]
         for r in pieces.groupBy("quality").agg(F.sum(F.octet_length("piece")).alias("bytes")).collect()
     }
     bad, good = (dictionary(_drawn(pieces, q, totals.get(q, 0))) for q in (0, 1))
-    rest = rows.where("pmod(draw, 2) = 1")
-    n = rest.count()
-    share = min(1.0, CALIBRATION_ROWS / max(1, n))
-    rest = rest.where(F.shiftrightunsigned(F.col("draw"), 2) < int(share * 2**62))
-    # the key of a row is its class here
-    found = features(rest, F.col("quality"), good, bad).orderBy("key", *FEATURES).collect()
-    values = np.array([[r[f] for f in FEATURES] for r in found]).reshape(-1, len(FEATURES))
-    return Model(good, bad, logistic(values, np.array([r["key"] for r in found], float)))
+    rest = labelled(docs, drawn.where(~even))
+    found = features(rest, F.col("quality"), good, bad).collect()  # the key of a row is its class here
+    found = sorted((r["key"], *(r[f] for f in FEATURES)) for r in found)
+    values = np.array([f[1:] for f in found]).reshape(-1, len(FEATURES))
+    return Model(good, bad, logistic(values, np.array([f[0] for f in found], float)))
 
 
 def _scores(model):

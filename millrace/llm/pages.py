@@ -165,7 +165,7 @@ def main_text(own: list[str], kinds: list[int], hashes: list[int], others: list[
     """The lines of a page that are its article.
 
     Lines shared with a nearby page go, unless the page calls them its article: there a shared line
-    goes only if it is link text as well. A nearby page that shares most of the text is a copy and
+    goes only if it is link text as well. A nearby page that shares four fifths of the text is a copy and
     says nothing about what is the site's. Where a page marks an article, or else a main part, only
     lines in it count.
     """
@@ -175,7 +175,7 @@ def main_text(own: list[str], kinds: list[int], hashes: list[int], others: list[
     whole = sum(map(len, own))
     for other in others:
         same = shared(hashes, other)
-        if 2 * sum(len(own[k]) for k in same) < whole or len(own) == 1:
+        if 5 * sum(len(own[k]) for k in same) < 4 * whole:
             gone.update(same)
     kept = []
     for k, line in enumerate(own):
