@@ -80,25 +80,21 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _passage_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Longest runs of the windows that a document is the first to have, with the anchors of each run."""
+    """Longest runs of the windows that a document is the first to have."""
     hashes = WordHashes()
-    schema = pa.schema([("owner", pa.int64()), ("passage", pa.binary()), ("anchors", pa.list_(pa.int64()))])
+    schema = pa.schema([("owner", pa.int64()), ("passage", pa.binary())])
     for rows in batches:
-        owners, texts, lists = [], [], []
+        owners, texts = [], []
         for order, text, own in zip(*(c.to_pylist() for c in rows.columns)):
             items = text.split()
             h = hashes(items)
             mine = np.flatnonzero(np.isin(windows(h), np.asarray(own, np.int64).view(np.uint64)))
             if not len(mine):
                 continue
-            at, found = anchors(h)
             for run in np.split(mine, np.flatnonzero(np.diff(mine) > 1) + 1):
-                first, last = run[0], run[-1] + WINDOW
-                inside = (at >= first) & (at + ANCHOR <= last)
                 owners.append(order)
-                texts.append(b" ".join(items[first:last]))
-                lists.append(np.unique(found[inside]).view(np.int64))
-        yield batch(schema, owner=owners, passage=texts, anchors=lists)
+                texts.append(b" ".join(items[run[0] : run[-1] + WINDOW]))
+        yield batch(schema, owner=owners, passage=texts)
 
 
 class Phrases:
@@ -106,7 +102,7 @@ class Phrases:
 
     def __init__(self):
         self.hashes, self.owners, self.passages = WordHashes(), [], []
-        self.places: dict[str, list[tuple[int, int]]] = defaultdict(list)
+        self.places: dict[str, dict[int, list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
         self.automaton = None
 
     def add(self, owner: int, passage: bytes) -> None:
@@ -115,7 +111,7 @@ class Phrases:
         self.owners.append(owner)
         self.passages.append(self.hashes(items))
         for at in range(0, len(items) - PHRASE + 1, STRIDE):
-            self.places[_spaced(items[at : at + PHRASE])].append((number, at))
+            self.places[_spaced(items[at : at + PHRASE])][owner].append((number, at))
 
     def compile(self) -> None:
         self.automaton = ahocorasick.Automaton()
@@ -123,19 +119,22 @@ class Phrases:
             self.automaton.add_word(phrase, places)
         self.automaton.make_automaton()
 
-    def spans(self, order: int, text: bytes) -> list[tuple[int, int]]:
-        """Runs of at least ``WINDOW`` words of a text that also stand in a passage of a document before ``order``."""
+    def spans(self, owners: list[int], text: bytes) -> list[tuple[int, int]]:
+        """Runs of at least ``WINDOW`` words of a text that also stand in a passage of ``owners``."""
         if not self.owners:
             return []
+        wanted = set(owners)
         items = text.split()
         h, flat = self.hashes(items), _spaced(items)
         starts = np.cumsum([0, *(len(w.decode("utf-8", "surrogateescape")) + 1 for w in items)])
         found, done = [], {}
         for end, places in self.automaton.iter(flat):
+            if wanted.isdisjoint(places):
+                continue
             last = int(np.searchsorted(starts, end))  # the phrase ends before word ``last``
-            for number, at in places:
-                here = last - PHRASE
-                if self.owners[number] >= order or done.get((number, here - at), -1) >= last:
+            here = last - PHRASE
+            for number, at in (x for owner in wanted.intersection(places) for x in places[owner]):
+                if done.get((number, here - at), -1) >= last:
                     continue
                 passage = self.passages[number]
                 back, on = min(here, at), min(len(h) - here, len(passage) - at)
@@ -169,7 +168,7 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     key, phrases = None, None
     for rows in batches:
         out = [[], [], [], []]
-        for shard, salt, kind, order, h1, text in zip(*(c.to_pylist() for c in rows.columns)):
+        for shard, salt, kind, order, h1, owners, text in zip(*(c.to_pylist() for c in rows.columns)):
             if (shard, salt) != key:
                 key, phrases = (shard, salt), Phrases()
             if kind == 0:
@@ -177,7 +176,7 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             if phrases.automaton is None:
                 phrases.compile()
-            spans = phrases.spans(order, text)
+            spans = phrases.spans(owners, text)
             if spans:
                 for column, value in zip(out, (order, h1, [s[0] for s in spans], [s[1] for s in spans])):
                     column.append(value)
@@ -219,41 +218,40 @@ def marked(docs: DataFrame, whole: bool) -> DataFrame:
         F.coalesce("copy", F.lit(False)).alias("copy"), kept_text.alias("text"),
         F.size("words").cast("long").alias("n_words"), F.sha2(F.array_join("words", " "), 256).alias("sha"),
     )
-    return stored(rows, "marked"), marks
+    return stored(rows, "marked")
 
 
-def occurrences(candidates: DataFrame, marks: DataFrame) -> DataFrame:
+def occurrences(candidates: DataFrame) -> DataFrame:
     """(ord, h1, firsts, untils): word spans of the candidates that a document before them has too.
 
     Windows that hold a shared anchor are counted by hash; those in two documents are recurring,
     and the first document with one owns it. Runs of owned windows are the passages, dealt to
-    shards by owner. A document is sent to the shards that own a passage with one of its anchors,
+    shards by owner. A document is sent to the shards of the owners that it meets in some window,
     and a shard with many documents is salted, its passages going along.
     """
     spark = candidates.sparkSession
     texts = candidates.select("ord", "h1", F.col("text").cast("binary").alias("text"), "positions")
     found = texts.select("ord", "text", "positions").mapInArrow(_window_rows, "window long, ord long")
-    recurring = found.groupBy("window").agg(F.min("ord").alias("ord"), F.max("ord").alias("last")).where("ord < last")
-    owned = recurring.groupBy("ord").agg(F.collect_list("window").alias("windows"))
+    recurring = found.groupBy("window").agg(F.min("ord").alias("owner"), F.max("ord").alias("last")).where("owner < last")
+    recurring = stored(recurring.select("window", "owner"), "recurring")
+    owned = recurring.groupBy(F.col("owner").alias("ord")).agg(F.collect_list("window").alias("windows"))
     passages = stored(
-        texts.select("ord", "text").join(owned, "ord").mapInArrow(
-            _passage_rows, "owner long, passage binary, anchors array<long>"), "passages",
+        texts.select("ord", "text").join(owned, "ord").mapInArrow(_passage_rows, "owner long, passage binary"), "passages"
     )
     total = passages.agg(F.sum(F.octet_length("passage"))).first()[0] or 0
     shards = 1 + total // SHARD_BYTES
-    passages = passages.withColumn("shard", F.pmod(F.xxhash64("owner"), F.lit(shards)).cast("int"))
-    at = passages.select(F.explode("anchors").alias("anchor"), "shard", "owner")
-    at = stored(at.groupBy("anchor", "shard").agg(F.min("owner").alias("owner")), "places")
-    routes = stored(
-        marks.select("anchor", "ord", "h1").join(at, "anchor").where("owner < ord").select("shard", "ord", "h1").distinct(), "routes"
-    )
+    shard = F.pmod(F.xxhash64("owner"), F.lit(shards)).cast("int")
+    passages = passages.withColumn("shard", shard)
+    pairs = found.join(recurring, "window").where("owner < ord").select("ord", "owner").distinct()
+    routes = stored(pairs.groupBy("ord", shard.alias("shard")).agg(F.collect_list("owner").alias("owners")), "routes")
     salts = routes.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / TASK_DOCS).cast("int").alias("salts"))
-    streamed = routes.join(salts, "shard").join(texts.drop("positions"), ["ord", "h1"]).select(
-        "shard", F.pmod(F.xxhash64("ord"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("kind"), "ord", "h1", "text"
+    streamed = routes.join(salts, "shard").join(texts.drop("positions"), "ord").select(
+        "shard", F.pmod(F.xxhash64("ord"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("kind"), "ord", "h1", "owners", "text"
     )
     patterns = passages.join(salts, "shard").select(
         "shard", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("kind"),
-        F.col("owner").alias("ord"), F.lit(0).cast("long").alias("h1"), F.col("passage").alias("text"),
+        F.col("owner").alias("ord"), F.lit(0).cast("long").alias("h1"),
+        F.array().cast("array<long>").alias("owners"), F.col("passage").alias("text"),
     )
     dealt = patterns.union(streamed).repartition(partitions(spark), "shard", "salt").sortWithinPartitions("shard", "salt", "kind")
     spans = dealt.mapInArrow(_occurrences, "ord long, h1 long, firsts array<int>, untils array<int>")
@@ -302,14 +300,14 @@ def dedup_digests(docs: DataFrame) -> DataFrame:
     text of ``WINDOW`` words or more. Rows with the same id never take words from each other; a row
     without id comes after all others. An empty table gives no rows.
     """
-    rows, marks = marked(docs, whole=False)
+    rows = marked(docs, whole=False)
     gone = F.col("copy") & (F.col("n_words") >= WINDOW)
     plain = rows.where("positions IS NULL").select(
         "row.doc_id", "n_words", F.when(gone, F.col("n_words")).otherwise(0).alias("n_removed"),
         F.when(gone, F.sha2(F.lit(""), 256)).otherwise(F.col("sha")).alias("kept_sha256"),
     )
     candidates = rows.where("positions IS NOT NULL")
-    spans = occurrences(candidates, marks)
+    spans = occurrences(candidates)
     cut = candidates.join(spans, ["ord", "h1"], "left").select(
         F.col("row.doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary"), "firsts", "untils"
     )
@@ -321,9 +319,9 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
 
     ``n_chars``, if there, follows the new text. Texts that lose all words go; texts that had none stay.
     """
-    rows, marks = marked(docs, whole=True)
+    rows = marked(docs, whole=True)
     candidates = rows.where("positions IS NOT NULL")
-    spans = occurrences(candidates, marks)
+    spans = occurrences(candidates)
     touched = candidates.select("ord", "h1", F.col("text").cast("binary").alias("text")).dropDuplicates(["ord", "h1"])
     cut = touched.join(spans, ["ord", "h1"]).mapInArrow(_cut, "ord long, h1 long, cut binary")
     rows = rows.where(~(F.col("copy") & (F.col("n_words") >= WINDOW))).join(cut, ["ord", "h1"], "left")
