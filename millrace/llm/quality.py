@@ -80,8 +80,7 @@ def base_counts(docs: DataFrame) -> DataFrame:
     )
     lines = F.filter(F.split("text", "\n", -1), lambda line: line.rlike(f"[^{SPACE_RUN[1:-2]}]"))
     step = step.withColumn("lines", lines)
-    return step.select(
-        "row", "doc_id",
+    counts = F.struct(
         n.cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         (F.length("text") - F.length(_without(F.col("text"), SYMBOLS))).cast("long").alias("n_symbols"),
@@ -92,6 +91,8 @@ def base_counts(docs: DataFrame) -> DataFrame:
         F.length(F.regexp_replace("text", "[^\\p{Lu}]+", "")).cast("long").alias("n_upper"),
         F.size(F.filter("words", lambda w: w.isin(*sorted(set(FUNCTION_WORDS))))).cast("long").alias("n_function"),
     )
+    # one generated row: what is built on the counts is not merged into how they are made, nor made again for a filter
+    return step.select("row", "doc_id", F.explode(F.array(counts)).alias("counts")).select("row", "doc_id", "counts.*")
 
 
 def failed_base(n_words: Column, n_repeat_words: Column) -> Column:
