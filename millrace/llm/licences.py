@@ -116,16 +116,6 @@ def templates(spark: SparkSession) -> DataFrame:
     return spark.range(1).select(F.explode(F.array(*rows)).alias("row")).select("row.*").withColumn("grams", grams(paragraph_words(F.col("text"))))
 
 
-def once(value: Column, use) -> Column:
-    """``use`` of a value that is computed one time, however often it is named."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
-def templates(spark: SparkSession) -> DataFrame:
-    rows = [F.struct(F.lit(f).alias("family"), F.lit(t).alias("text")) for f, texts in TEMPLATES.items() for t in texts]
-    return spark.range(1).select(F.explode(F.array(*rows)).alias("row")).select("row.*").withColumn("grams", grams(paragraph_words(F.col("text"))))
-
-
 @dataclass(frozen=True)
 class Model:
     """``weights[gram][k]`` and ``bias[k]`` of ``families[k]``, the first of which is unknown."""
@@ -193,7 +183,7 @@ def fit(docs: DataFrame) -> Model:
     every = [r["g"] for r in known.select(F.explode("grams").alias("g")).distinct().orderBy("g").collect()]
     families = [UNKNOWN, *sorted(TEMPLATES)]
     label = F.array_position(F.array(*[F.lit(f) for f in families]), F.col("family")) - 1
-    counted = CountVectorizerModel.from_vocabulary(docs.sparkSession.sparkContext, every, "grams", "features")         if False else CountVectorizerModel.from_vocabulary(every, "grams", "features")
+    counted = CountVectorizerModel.from_vocabulary(every, "grams", "features")
     rows = counted.setBinary(True).transform(_examples(docs, every)).select(label.cast("double").alias("label"), "features", "draw")
     half = F.pmod("draw", F.lit(2)) == 0
     fitted = LogisticRegression(family="multinomial", regParam=RIDGE, maxIter=60).fit(rows.where(half).coalesce(2))
