@@ -69,13 +69,15 @@ def descend(
 
     In each pass every partition walks its rows from the common weights, ``chunk`` rows per step
     (their gradients are added), and the partitions' weights are averaged by row count. One row of
-    weights per partition is aggregated; only the averaged weights reach the driver.
+    weights per partition is aggregated; only the averaged weights reach the driver. Steps are
+    numbered on from pass to pass by the mean rows of a partition. If a partition overflows, the
+    descent ends with the weights before that pass.
     """
     names, size = list(features), len(features)
     weights = start or Weights((0.0,) * size, 0.0)
     rows = df.select(*[F.col(c).cast("double") for c in names], F.col(target).cast("double").alias("_y"))
 
-    def one_pass(at: Weights, number: int):
+    def one_pass(at: Weights, before: float):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             w, b, n = np.array(at.coefficients), at.intercept, 0
             mean_w, mean_b, steps = np.zeros(size), 0.0, 0
@@ -83,7 +85,7 @@ def descend(
                 x, y = batch[names].to_numpy(), batch["_y"].to_numpy()
                 for i in range(0, len(y), chunk):
                     part, goal = x[i : i + chunk], y[i : i + chunk]
-                    eta = schedule.step(n + 1 + number * len(y))
+                    eta = schedule.step(n + 1 + before)
                     error = part @ w + b - goal
                     w = w * (1.0 - eta * schedule.alpha * len(goal)) - eta * (error @ part)
                     b -= eta * error.sum()
@@ -91,17 +93,24 @@ def descend(
                     mean_w, mean_b = mean_w + (w - mean_w) / steps, mean_b + (b - mean_b) / steps
             if n:
                 w, b = (mean_w, mean_b) if schedule.averaged else (w, b)
-                yield pd.DataFrame([[*w, b, n]], columns=[*[f"w_{i}" for i in range(size)], "b", "n"])
+                bad = not np.isfinite([*w, b]).all()
+                ends = [0.0] * (size + 1) if bad else [*w, b]
+                yield pd.DataFrame([[*ends, n, int(bad)]], columns=[*[f"w_{i}" for i in range(size)], "b", "n", "bad"])
 
         return run
 
     fields = [*[f"w_{i}" for i in range(size)], "b"]
-    for number in range(passes):
-        ends = rows.mapInPandas(one_pass(weights, number), ", ".join(f"{c} double" for c in fields) + ", n long")
-        row = ends.agg(*[(F.sum(F.col(c) * F.col("n")) / F.sum("n")).alias(c) for c in fields]).first()
-        if row["b"] is None:
+    before = 0.0
+    for _ in range(passes):
+        ends = rows.mapInPandas(one_pass(weights, before), ", ".join(f"{c} double" for c in fields) + ", n long, bad long")
+        row = ends.agg(
+            *[(F.sum(F.col(c) * F.col("n")) / F.sum("n")).alias(c) for c in fields],
+            F.avg("n").alias("mean_rows"), F.sum("bad").alias("bad"),
+        ).first()
+        if row["bad"] is None or row["bad"] > 0:
             return weights
         weights = Weights(tuple(row[c] for c in fields[:-1]), row["b"])
+        before += row["mean_rows"]
     return weights
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,37 @@ def exists(spark: SparkSession, path: str) -> bool:
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
 
 
+def child_folders(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    """Values of the partition folders ``<prefix>=<value>`` directly below ``path``."""
+    if not exists(spark, path):
+        return []
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [status.getPath().getName() for status in system.listStatus(folder)]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{prefix}="))
+
+
+def rejects_path(path: str) -> str:
+    """Where rows without a whole key are kept that were sent to the table at ``path``."""
+    return f"{path.rstrip('/')}_rejects"
+
+
+def keyed(rows: DataFrame, path: str, key: Sequence[str] = KEY) -> DataFrame:
+    """The rows that have every key column; the others go to ``rejects_path(path)``, equal ones once.
+
+    Rejecting the same rows again adds nothing. ``rows`` should come from files: they are read twice.
+    """
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key])
+    bad = rows.where(~whole)
+    if not bad.isEmpty():
+        folder = rejects_path(path)
+        bad = bad.withColumn("reject_id", F.xxhash64(*rows.columns)).dropDuplicates(["reject_id"])
+        if exists(rows.sparkSession, folder):
+            bad = bad.join(rows.sparkSession.read.parquet(folder).select("reject_id"), "reject_id", "left_anti")
+        written(bad, "rejects").write.mode("append").parquet(folder)
+    return rows.where(whole)
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The table's rows, or none when it was never written."""
     full = T.StructType([*[f for f in schema.fields if f.name != "day"], T.StructField("day", T.DateType())])
@@ -48,20 +80,23 @@ def _replace_days(rows: DataFrame, path: str) -> None:
 def upsert(rows: DataFrame, path: str, key: Sequence[str] = KEY, version: Sequence[str] = ("event_id",)) -> None:
     """Last write wins per key: rewrite only the days that ``rows`` touch.
 
-    Running the same batch twice leaves the same table. The merged days are written to the shared
+    Running the same batch twice leaves the same table. Rows without a whole key are rejected. The merged days are written to the shared
     folder before they replace the old ones.
     """
     spark = rows.sparkSession
-    arriving = written(rows.withColumn("day", F.to_date("ts")), "arriving")
+    arriving = keyed(written(rows.withColumn("day", F.to_date("ts")), "arriving"), path, key)
     present = _of_days(read_table(spark, path, rows.schema), arriving).select(*arriving.columns)
     merged = last_per_key(present.unionByName(arriving), [*key, "day"], version)
     _replace_days(written(merged, "merged"), path)
 
 
 def insert_new(rows: DataFrame, path: str, key: Sequence[str] = KEY, version: Sequence[str] = ("event_id",)) -> None:
-    """First write wins per key: append rows whose key the table lacks; running twice adds nothing."""
+    """First write wins per key: append rows whose key the table lacks; running twice adds nothing.
+
+    Rows without a whole key are rejected.
+    """
     spark = rows.sparkSession
-    arriving = written(rows.withColumn("day", F.to_date("ts")), "arriving")
+    arriving = keyed(written(rows.withColumn("day", F.to_date("ts")), "arriving"), path, key)
     rest = [c for c in arriving.columns if c not in (*key, "day")]
     first = arriving.groupBy(*key, "day").agg(F.min_by(F.struct(*rest), F.struct(*version)).alias("_row"))
     first = first.select(*[F.col(f"_row.{c}").alias(c) if c in rest else F.col(c) for c in arriving.columns])

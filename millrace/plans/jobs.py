@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from millrace.functions import clean
 from millrace.operators import fact, upsert
 from millrace.plans import marts
-from millrace.session import prepare
+from millrace.session import prepare, written
 from millrace.sources import dimensions
 from millrace.sources.files import read_feed_csv
 
@@ -30,20 +30,32 @@ def refresh_marts(table: DataFrame, folder: str, since: str | None = None) -> No
     """Write every mart, or only the periods that hold days from ``since`` on.
 
     The fact table (partitioned by day) is read once, for the changed days only, into a table of
-    daily sums; the marts are built from that.
+    daily sums; the marts are built from that. Periods that no longer have rows are removed.
     """
     spark, base = table.sparkSession, f"{folder}/daily_sums"
     changed = table if since is None else table.where(F.col("day") >= F.lit(since).cast("date"))
-    _replace(marts.daily_sums(changed), base, "day")
+    _replace(marts.daily_sums(changed), base, "day", since)
     sums = spark.read.parquet(base)
     for grain in marts.GRAINS:
-        rows = sums if since is None else sums.where(F.col("day") >= F.date_trunc(grain, F.lit(since).cast("timestamp")).cast("date"))
+        rows, start = sums, None
+        if since is not None:
+            day = F.lit(since).cast("timestamp")
+            rows = sums.where(F.col("day") >= F.date_trunc(grain, day).cast("date"))
+            start = spark.range(1).select(clean.period(day, grain).cast("string")).first()[0]
         for report in marts.MARTS:
-            _replace(marts.from_daily(rows, report, grain), f"{folder}/{report}_{grain}", "period")
+            _replace(marts.from_daily(rows, report, grain), f"{folder}/{report}_{grain}", "period", start)
 
 
-def _replace(rows: DataFrame, path: str, partition: str) -> None:
+def _replace(rows: DataFrame, path: str, partition: str, start: str | None) -> None:
+    """Write the partitions of ``rows`` and remove those from ``start`` on (all, if None) that it lacks."""
+    spark = rows.sparkSession
+    rows = written(rows, "replacing")
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    present = {r["p"] for r in rows.select(F.col(partition).cast("string").alias("p")).distinct().collect()}
+    for value in upsert.child_folders(spark, path, partition):
+        if value not in present and (start is None or value >= start):
+            stale = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{partition}={value}")
+            stale.getFileSystem(spark._jsc.hadoopConfiguration()).delete(stale, True)
 
 
 def numbered(rows: DataFrame) -> DataFrame:

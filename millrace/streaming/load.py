@@ -15,7 +15,7 @@ from millrace.functions import clean
 from millrace.operators import fact, linear
 from millrace.operators.linear import Weights
 from millrace.operators.state import latest_state
-from millrace.operators.upsert import KEY, insert_new, upsert
+from millrace.operators.upsert import KEY, insert_new, keyed, upsert
 from millrace.session import written
 from millrace.sources import dimensions
 from millrace.streaming.runs import BatchFolders, Snapshots, per_batch
@@ -42,6 +42,7 @@ class FactLoader:
     A sensor row is loaded when an event at least the largest tolerance newer has been seen; by
     then, for input in time order, its nearest rows have arrived. A batch reads only the days
     from shortly before its oldest unsettled row on. Every step can be repeated for the same batch.
+    Rows without time or machine are kept apart, beside the staged ones.
     """
 
     def __init__(self, spark: SparkSession, folder: str, table: str, after: Callable[[str], None] | None = None):
@@ -52,6 +53,7 @@ class FactLoader:
 
     def load(self, rows: DataFrame, batch: int) -> None:
         arriving = written(rows.select(*[f.name for f in TOPIC_SCHEMA.fields]), "arriving")
+        arriving = keyed(arriving, self.staged.path)
         oldest, newest = arriving.agg(F.min("ts"), F.max("ts")).first()
         if oldest is None:
             return

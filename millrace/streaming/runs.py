@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-from millrace.operators.upsert import exists
+from millrace.operators.upsert import child_folders, exists
 from millrace.session import fresh_path
 
 BatchFunction = Callable[[DataFrame, int], None]
@@ -60,16 +60,6 @@ class Snapshots:
         return self.before(1 << 62)
 
 
-def child_folders(spark: SparkSession, path: str, prefix: str) -> list[str]:
-    """Values of the partition folders ``<prefix>=<value>`` directly below ``path``."""
-    if not exists(spark, path):
-        return []
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [status.getPath().getName() for status in system.listStatus(folder)]
-    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{prefix}="))
-
-
 class BatchFolders:
     """Rows kept by day and batch; a repeated batch replaces its own folders."""
 
