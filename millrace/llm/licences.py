@@ -111,9 +111,13 @@ def once(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+def template_rows() -> Column:
+    return F.array(*[F.struct(F.lit(f).alias("family"), F.lit(t).alias("text")) for f, texts in TEMPLATES.items() for t in texts])
+
+
 def templates(spark: SparkSession) -> DataFrame:
-    rows = [F.struct(F.lit(f).alias("family"), F.lit(t).alias("text")) for f, texts in TEMPLATES.items() for t in texts]
-    return spark.range(1).select(F.explode(F.array(*rows)).alias("row")).select("row.*").withColumn("grams", grams(paragraph_words(F.col("text"))))
+    rows = spark.range(1).select(F.explode(template_rows()).alias("row")).select("row.*")
+    return rows.withColumn("grams", grams(paragraph_words(F.col("text"))))
 
 
 @dataclass(frozen=True)
@@ -155,17 +159,21 @@ class Model:
 
 def _examples(docs: DataFrame, every: list[str]) -> DataFrame:
     """(family, grams, draw): templates alone and amid other words, and other paragraphs as unknown."""
-    spark = docs.sparkSession
-    known = templates(spark)
+    known = templates(docs.sparkSession)
     lines = docs.where("text IS NOT NULL").select(F.explode(F.split("text", "\n", -1)).alias("text")).where("text <> ''")
-    drawn = lines.withColumn("draw", F.xxhash64("text")).orderBy("draw").limit(NEGATIVES)
+    lines = lines.withColumn("draw", F.xxhash64("text"))
+    # one in so many different lines, so that the last task sorts a bounded number whatever the corpus
+    different = lines.agg(F.approx_count_distinct("draw")).first()[0]
+    share = max(1, int(different // (2 * NEGATIVES)))
+    drawn = lines.where(F.pmod(F.xxhash64(F.lit(1), "draw"), F.lit(share)) == 0).dropDuplicates(["draw"])
+    drawn = drawn.orderBy("draw").limit(NEGATIVES)
     others = drawn.select("draw", grams(paragraph_words(F.col("text"))).alias("grams"))
     # paragraphs that share much with a template are no examples of other text
     foreign = F.size(F.array_intersect("grams", F.array(*[F.lit(g) for g in every]))) <= FOREIGN
     negatives = stored(others.where(foreign), "negatives")
-    around = negatives.orderBy("draw").limit(AROUND).select("draw", F.col("grams").alias("around"), F.lit(1).alias("one"))
-    amid = known.withColumn("one", F.lit(1)).join(around, "one").select(
-        "family", F.array_distinct(F.concat("grams", "around")).alias("grams"), "draw"
+    around = negatives.orderBy("draw").limit(AROUND).withColumn("known", F.explode(template_rows()))
+    amid = around.select(
+        "known.family", F.array_distinct(F.concat(grams(paragraph_words(F.col("known.text"))), "grams")).alias("grams"), "draw"
     )
     alone = known.select("family", "grams", F.explode(F.array(F.lit(0).cast("long"), F.lit(1).cast("long"))).alias("draw"))
     return stored(alone.union(amid).union(negatives.select(F.lit(UNKNOWN).alias("family"), "grams", "draw")), "examples")
@@ -175,7 +183,7 @@ def fit(docs: DataFrame) -> Model:
     """Multinomial logistic regression on the grams of the templates, trained by Spark ML.
 
     The vocabulary is that of the templates and the examples are bounded (``NEGATIVES`` paragraphs,
-    drawn by hash, and each template ``AROUND`` times), so the model has a fixed size whatever the
+    different and drawn by hash, and each template ``AROUND`` times), so the model has a fixed size whatever the
     corpus. Half of the examples train; on the other half one factor on all scores is chosen by
     likelihood, which calibrates the chance of unknown.
     """
