@@ -74,17 +74,20 @@ class Encoder(dict):
 
     The tokenizer splits a text before every single space between two other characters, whatever
     stands around, so the ids of a text are those of its chunks, and each chunk is encoded once.
+    A text that holds an added token of the file goes to the tokenizer as a whole.
     """
 
     def __init__(self, definition: str, known: int = KNOWN):
         super().__init__()
         self.ranked, self.limit = ranked_encoding(definition), known
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t["content"] for t in json.loads(definition).get("added_tokens", ())]
+
+    def whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def encode(self, text: str) -> bytes:
-        ids = self.ranked.encode_ordinary(text) if self.ranked else self.tokenizer.encode(text, add_special_tokens=False).ids
-        return array("I", ids).tobytes()
+        return array("I", self.ranked.encode_ordinary(text)).tobytes() if self.ranked else self.whole(text)
 
     def __missing__(self, chunk: str) -> bytes:
         if not chunk or chunk[0].isspace() or chunk[-1].isspace():
@@ -92,6 +95,8 @@ class Encoder(dict):
         return self.setdefault(chunk, self.encode(" " + chunk))
 
     def __call__(self, text: str) -> bytes:
+        if any(token in text for token in self.added):
+            return self.whole(text)
         if len(self) > self.limit:
             self.clear()
         chunks = text.split(" ")

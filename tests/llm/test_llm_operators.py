@@ -199,6 +199,15 @@ def test_chunks_give_the_ids_of_the_whole_text():
         assert np.frombuffer(encode(text), "<u4").tolist() == want
 
 
+def test_added_tokens_have_their_own_ids():
+    definition = packing.tokenizer_definition()
+    fresh, encode = packing.Tokenizer.from_str(definition), packing.encoder(definition)
+    ids = lambda text: np.frombuffer(encode(text), "<u4").tolist()
+    assert ids("end <|endoftext|> next") == [437, 220, 50256, 1306]
+    for text in ("<|endoftext|>", "a b<|endoftext|>c  d", " <|endoftext|><|endoftext|> ", "<|endoftext |>", "no token", "x <|endoftext|"):
+        assert ids(text) == fresh.encode(text, add_special_tokens=False).ids
+
+
 def test_bin_plans_hold_every_item():
     rng = random.Random(6)
     for n in (0, 1, 50, 2000):
