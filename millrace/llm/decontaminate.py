@@ -24,7 +24,7 @@ BLOCK = 4  # items of a block of postings
 ROWS = 1024  # passages bounded at once
 SHARD_ITEMS = 512  # items of one index
 SLICE_ITEMS = 8192  # items that one pass over the documents is asked for; bounds what is broadcast
-LONGEST = 512  # words of a passage's half at most; longer items are indexed in parts of so many
+LONGEST = 512  # words of a passage's half at most; longer items are retrieved by parts of so many at most
 
 # ASCII letters in lower case, other ASCII signs as spaces; what is not ASCII stays.
 FOLD = bytes(
@@ -64,16 +64,29 @@ def overlap(part: list[bytes], passage: list[bytes]) -> float:
     return len(wanted & have) / len(wanted)
 
 
+@dataclass
+class Item:
+    """Question and answer of an item, and what each term adds to its score as a share of its score against itself."""
+
+    question: list[bytes]
+    answer: list[bytes]
+    shares: dict[bytes, float]
+
+    @property
+    def size(self) -> int:
+        return len(self.question) + len(self.answer)
+
+
 @dataclass
 class Index:
-    """Postings of some items by term, impacts as shares of an item's score against itself.
+    """Postings of some items, or of parts of long items, by term; impacts are shares of the score against itself.
 
     Items are numbered from 0 and blocks hold ``BLOCK`` numbers. ``cells`` has a row for each term
     and, per block, the greatest impact in it.
     """
 
     items: list[int]
-    parts: list[tuple[list[bytes], list[bytes]]]
+    parts: list[Item]  # the whole item, also where a part of it is indexed
     span: int
     vocabulary: dict[bytes, int]
     postings: list[tuple[list[int], list[float]]]
@@ -144,36 +157,48 @@ def statistics(items: DataFrame) -> tuple[int, float, DataFrame]:
 
 def build(rows: list[tuple[int, str]], n: int, mean: float, holders: dict[bytes, int]) -> list[Index]:
     """Indexes of ``SHARD_ITEMS`` items each. Terms weigh by the ``holders`` among all ``n`` items."""
-    out = []
-    rows = [(k, part) for k, text in rows for part in _parts(text)]
-    rows = [(k, part) for k, part in rows if part[0] or part[1]]
-    for at in range(0, len(rows), SHARD_ITEMS):
-        some = rows[at : at + SHARD_ITEMS]
+    out, parts = [], []
+    for k, text in rows:
+        question, answer = question_and_answer(text)
+        words = question + answer
+        if not words:
+            continue
+        counts = Counter(words)
+        weights = {}
+        for t, tf in counts.items():
+            df = holders.get(t, 1)
+            weight = math.log1p((n - df + 0.5) / (df + 0.5))
+            weights[t] = weight * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(words) / max(mean, 1e-9)))
+        own = sum(weights.values())
+        whole = Item(question, answer, {t: w / own for t, w in weights.items()})
+        parts += [(k, whole, impacts, size) for impacts, size in _parts(words, whole.shares)]
+    for at in range(0, len(parts), SHARD_ITEMS):
+        some = parts[at : at + SHARD_ITEMS]
         by_term: dict[bytes, list[tuple[int, float]]] = defaultdict(list)
-        for number, (_, (question, answer)) in enumerate(some):
-            counts = Counter(question + answer)
-            length = sum(counts.values())
-            weights = {}
-            for t, tf in counts.items():
-                df = holders.get(t, 1)
-                weight = math.log1p((n - df + 0.5) / (df + 0.5))
-                weights[t] = weight * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / max(mean, 1e-9)))
-            own = sum(weights.values())
-            for t, w in weights.items():
-                by_term[t].append((number, w / own))
+        for number, (_, _, impacts, _) in enumerate(some):
+            for t, w in impacts.items():
+                by_term[t].append((number, w))
         vocabulary = {t: k for k, t in enumerate(by_term)}
         postings = [([i for i, _ in p], [w for _, w in p]) for p in by_term.values()]
-        span = max(len(q) + len(a) for _, (q, a) in some)
-        out.append(Index([k for k, _ in some], [p for _, p in some], span, vocabulary, postings))
+        out.append(Index([k for k, *_ in some], [x for _, x, _, _ in some], max(x[3] for x in some), vocabulary, postings))
     return out
 
 
-def _parts(text: str) -> list[tuple[list[bytes], list[bytes]]]:
-    question, answer = question_and_answer(text)
-    if len(question) + len(answer) <= LONGEST:
-        return [(question, answer)]
-    everything = question + answer
-    return [(everything[i : i + LONGEST], []) for i in range(0, len(everything), LONGEST)]
+def _parts(words: list[bytes], shares: dict[bytes, float]) -> list[tuple[dict[bytes, float], int]]:
+    """(impacts, words) of the parts by which an item is retrieved: itself, or even runs of ``LONGEST`` words at most.
+
+    A part has its terms' shares of the item's score as far as they occur in it, so where the item
+    reaches a threshold, some part does.
+    """
+    if len(words) <= LONGEST:
+        return [(shares, len(words))]
+    many, counts, out = -(-len(words) // LONGEST), Counter(words), []
+    for k in range(many):
+        run = words[k * len(words) // many : (k + 1) * len(words) // many]
+        impacts = {t: shares[t] * tf / counts[t] for t, tf in Counter(run).items()}
+        own = sum(impacts.values())
+        out.append(({t: w / own for t, w in impacts.items()}, len(run)))
+    return out
 
 
 def passages_to_search(index: Index, ids: np.ndarray, starts: np.ndarray, until: np.ndarray, threshold: float) -> np.ndarray:
@@ -228,11 +253,18 @@ def _search(indexes: list[Index], threshold: float, wanted: float):
                         continue
                     offset = int(begins[number])
                     passage = words[number][first - offset : last - offset]
-                    for item, _ in hits:
-                        found[number].add(index.items[item])
-                        question, answer = index.parts[item]
-                        if overlap(question, passage) >= wanted and overlap(answer, passage) >= wanted:
-                            leaks[number].add(index.items[item])
+                    for hit, _ in hits:
+                        if index.items[hit] in leaks[number]:
+                            continue
+                        item, around = index.parts[hit], passage
+                        if item.size > LONGEST:
+                            # passages put together: wherever the part stands in the item, the item lies in these words
+                            around = words[number][max(0, first - offset - item.size) : last - offset + item.size]
+                            if sum(item.shares[t] for t in item.shares.keys() & set(around)) < threshold:
+                                continue
+                        found[number].add(index.items[hit])
+                        if overlap(item.question, around) >= wanted and overlap(item.answer, around) >= wanted:
+                            leaks[number].add(index.items[hit])
             columns = (docs, hashes, passages, [sorted(x) for x in found], [sorted(x) for x in leaks])
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
@@ -245,7 +277,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, threshold: float = THRESHOL
     Every document is cut into passages of two halves, each as long as the longest item, one half
     apart, so that any item lies whole in a passage. Every passage queries the index: all items of
     at least ``threshold`` are retrieved, and those whose question and answer both overlap the
-    passage by ``wanted`` are leaks. Items over ``LONGEST`` words are indexed in parts.
+    passage by ``wanted`` are leaks. Items over ``LONGEST`` words are retrieved by parts; score and
+    overlap of the whole item are then taken on the words around, an item's length to both sides.
 
     The documents are never shuffled. The index goes to the tasks in slices of ``SLICE_ITEMS``
     items; a larger benchmark takes more passes, whose results are put together by row. Items

@@ -154,6 +154,23 @@ def test_decontamination_finds_items_and_only_them(spark, docs, empty):
     assert decontaminate.drop_leaks(docs, bench.limit(0)).count() == docs.count()
 
 
+def test_items_of_more_than_one_part_leak_as_a_whole(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    question, answer = [word() for _ in range(500)], [word() for _ in range(13)]
+    item = " ".join(question) + ". " + " ".join(answer) + "."
+    longer = " ".join(word() for _ in range(1400))  # one sentence: the answer is its last third
+    filler = lambda n: " ".join(word() for _ in range(n))
+    texts = {
+        1: filler(300) + " " + item + " " + filler(900), 2: filler(30) + " " + answer[-1] + " " + filler(30), 3: filler(9) + " " + " ".join(question),
+        4: " ".join(answer), 5: filler(700) + " " + longer, 6: " ".join(longer.split()[:700]), 7: " ".join(reversed(item.split())), 8: "",
+    }
+    bench = spark.createDataFrame([(1, item), (2, longer), (3, "Short one of some words here. And an answer.")], "item_id long, text string")
+    docs = spark.createDataFrame([(k, t, "", 1) for k, t in texts.items()], DOCS)
+    assert {r["doc_id"]: r["item_ids"] for r in decontaminate.leaks(docs, bench).collect() if r["item_ids"]} == {1: [1], 5: [2]}
+    assert sorted(r["doc_id"] for r in decontaminate.drop_leaks(docs, bench).collect()) == [2, 3, 4, 6, 7, 8]
+
+
 def test_block_max_wand_equals_full_scoring():
     rng = random.Random(3)
     vocabulary = [f"w{k}" for k in range(60)]
