@@ -73,6 +73,22 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     ),
     "Proprietary": ("All rights reserved.", "Copyright, all rights reserved. No part may be reproduced without written permission."),
 }
+# The parts by which a notice of any wording grants a licence by its name.
+NAMES: dict[str, tuple[str, ...]] = {
+    "Apache-2.0": ("apache license", "apache 2.0"),
+    "MIT": ("mit license",),
+    "GPL": ("gnu general public license", "gnu gpl", "general public license", "gpl"),
+    "LGPL": ("gnu lesser general public license", "gnu lgpl", "lesser general public license", "lgpl"),
+    "AGPL": ("gnu affero general public license", "gnu agpl", "affero general public license", "agpl"),
+    "BSD": ("bsd license", "bsd 2-clause", "bsd 3-clause", "2-clause bsd", "3-clause bsd", "bsd-style license"),
+    "MPL-2.0": ("mozilla public license", "mpl 2.0"),
+    "CC-BY": ("cc by", "creative commons attribution 4.0", "creative commons attribution license"),
+    "CC-BY-SA": ("cc by-sa", "creative commons attribution-sharealike"),
+    "CC-BY-NC": ("cc by-nc", "creative commons attribution-noncommercial"),
+    "CC0": ("cc0",),
+    "Proprietary": (),
+}
+GRANTS = ("licensed under", "released under", "distributed under", "available under", "governed by", "the terms of", "under the terms of")
 UNKNOWN = "unknown"
 # Ordinary English and other words that say nothing of a licence by themselves.
 PLAIN = frozenset(
@@ -112,7 +128,10 @@ def once(value: Column, use) -> Column:
 
 
 def template_rows() -> Column:
-    return F.array(*[F.struct(F.lit(f).alias("family"), F.lit(t).alias("text")) for f, texts in TEMPLATES.items() for t in texts])
+    """Templates, and as examples only (``short``) the licences by their names."""
+    every = [(f, t, False) for f, texts in TEMPLATES.items() for t in texts]
+    every += [(f, f"{GRANTS[0]} the {name}", True) for f, names in NAMES.items() for name in names]
+    return F.array(*[F.struct(F.lit(f).alias("family"), F.lit(t).alias("text"), F.lit(s).alias("short")) for f, t, s in every])
 
 
 def templates(spark: SparkSession) -> DataFrame:
@@ -128,6 +147,7 @@ class Model:
     weights: dict[str, list[float]]
     bias: list[float]
     pairs: dict[str, list[list[str]]]  # word pairs of each template
+    span: int  # words of the longest template
 
     @property
     def singles(self) -> list[str]:
@@ -156,6 +176,43 @@ class Model:
             out = F.when(family == name, F.greatest(*shares, F.lit(0.0))).otherwise(out)
         return out
 
+    def granted(self, words: Column, family: Column) -> Column:
+        """Whether the words grant a licence of ``family`` by one of its ``NAMES``."""
+        said, out = F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" ")), F.lit(False)
+        for name, many in NAMES.items():
+            if many:
+                either = "|".join(x.replace(".", "[.]") for x in many)
+                out = F.when(family == name, said.rlike(f" ({'|'.join(GRANTS)}) ((the|a|an) )?({either}) ")).otherwise(out)
+        return out
+
+
+def windows(lines: Column, span: int) -> Column:
+    """The words of each line, and of each run of lines that a notice of ``span`` words may be wrapped over.
+
+    ``lines`` are arrays of words. A run ends before a line without words, and once the lines inside
+    it have the words of a notice; of its first line the last ``span`` words count, of its last line
+    the first ``span``.
+    """
+
+    def longer(so_far: Column, line: Column) -> Column:
+        inner = so_far["inner"] + F.size(line)
+        return F.when(
+            so_far["open"] & (F.size(line) > 0),
+            F.struct(
+                F.concat(so_far["words"], F.slice(line, 1, span)).alias("words"), inner.alias("inner"), (inner < span - 1).alias("open"),
+                F.concat(so_far["runs"], F.array(F.concat(so_far["words"], F.slice(line, 1, span)))).alias("runs"),
+            ),
+        ).otherwise(F.struct(so_far["words"].alias("words"), so_far["inner"].alias("inner"), F.lit(False).alias("open"), so_far["runs"].alias("runs")))
+
+    def runs(line: Column, k: Column) -> Column:
+        first = F.greatest(F.size(line) - span, F.lit(0)) + 1
+        alone = F.struct(
+            F.slice(line, first, F.lit(span)).alias("words"), F.lit(0).alias("inner"), (F.size(line) > 0).alias("open"), F.array(line).alias("runs")
+        )
+        return F.aggregate(F.slice(lines, k + 2, F.lit(span)), alone, longer, lambda found: found["runs"])
+
+    return F.flatten(F.transform(lines, runs))
+
 
 def _examples(docs: DataFrame, every: list[str]) -> DataFrame:
     """(family, grams, draw): templates alone and amid other words, and other paragraphs as unknown."""
@@ -208,42 +265,44 @@ def fit(docs: DataFrame) -> Model:
     factor = min(FACTORS, key=loss) if len(rest) else 1.0
     weights = {g: [float(v) for v in matrix[:, k] * factor] for k, g in enumerate(every)}
     pairs = {family: [] for family in families[1:]}
-    for r in known.collect():
+    for r in known.where("NOT short").collect():
         pairs[r["family"]].append([g for g in r["grams"] if " " in g])
-    return Model(families, weights, [float(b) for b in bias * factor], pairs)
+    span = known.agg(F.max(F.size(paragraph_words(F.col("text"))))).first()[0]
+    return Model(families, weights, [float(b) for b in bias * factor], pairs, span)
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """(doc_id, n_paragraphs, licence, probability, families) of every row of ``docs``.
 
-    Every paragraph (line with a word) of the whole text is classified. A paragraph with no single
-    word of the model has nothing that tells it from other text and is unknown. A family counts if
-    its probability is ``FLOOR`` or more and a template of it has ``CONFIRM`` of its word pairs
-    there. ``families`` are all that count, ``licence`` the most probable, or unknown with
-    probability null. Null and empty texts have no paragraphs; rows that repeat repeat here.
+    Every line with a word (``n_paragraphs``) of the whole text is classified, and so is every run of
+    neighbouring lines that a wrapped notice may stand on (``windows``). A run with no single word
+    of the model has nothing that tells it from other text and is unknown. A family counts if its
+    probability is ``FLOOR`` or more and a template of it has ``CONFIRM`` of its word pairs there or
+    the words grant it by name (``granted``). ``families`` are all that count, ``licence`` the most
+    probable, or unknown with probability null. Null and empty texts have no paragraphs; rows that
+    repeat repeat here.
     """
     model = fit(docs)
     rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    rows = rows.select("doc_id", F.transform(F.split("text", "\n", -1), paragraph_words).alias("paragraphs"))
-    rows = rows.withColumn("paragraphs", F.filter("paragraphs", lambda w: F.size(w) > 0))
+    rows = rows.select("doc_id", F.transform(F.split("text", "\n", -1), paragraph_words).alias("lines"))
     marks = F.array(*[F.lit(w) for w in model.singles])
-    rows = rows.select(
-        "doc_id", F.size("paragraphs").cast("long").alias("n_paragraphs"),
-        F.filter("paragraphs", lambda w: F.arrays_overlap(w, marks)).alias("marked"),
-    )
+    rows = rows.select("doc_id", F.size(F.filter("lines", lambda w: F.size(w) > 0)).cast("long").alias("n_paragraphs"), F.when(
+        F.exists("lines", lambda w: F.arrays_overlap(w, marks)), windows(F.col("lines"), model.span)
+    ).otherwise(F.array().cast("array<array<string>>")).alias("runs"))
+    rows = rows.select("doc_id", "n_paragraphs", F.filter("runs", lambda w: F.arrays_overlap(w, marks)).alias("marked"))
     names = F.array(*[F.lit(f) for f in model.families])
 
-    def verdict(found: Column, chances: Column) -> Column:
+    def verdict(words: Column, found: Column, chances: Column) -> Column:
         best = F.array_max(chances)
         family = F.element_at(names, F.array_position(chances, best).cast("int"))
-        like = once(family, lambda f: model.likeness(found, f))
-        return F.struct(F.round(best, 6).alias("probability"), family.alias("family"), like.alias("like"))
+        told = once(family, lambda f: (model.likeness(found, f) >= CONFIRM) | model.granted(words, f))
+        return F.struct(F.round(best, 6).alias("probability"), family.alias("family"), told.alias("told"))
 
     rows = rows.withColumn("verdicts", F.transform(
-        "marked", lambda w: once(grams(w), lambda found: once(model.probabilities(found), lambda chances: verdict(found, chances)))
+        "marked", lambda w: once(grams(w), lambda found: once(model.probabilities(found), lambda chances: verdict(w, found, chances)))
     ))
     rows = rows.withColumn("sure", F.filter(
-        "verdicts", lambda v: (v["family"] != UNKNOWN) & (v["probability"] >= FLOOR) & (v["like"] >= CONFIRM)
+        "verdicts", lambda v: (v["family"] != UNKNOWN) & (v["probability"] >= FLOOR) & v["told"]
     ))
     best = F.array_max("sure")
     return rows.select(

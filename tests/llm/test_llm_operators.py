@@ -286,6 +286,34 @@ def test_licences_and_unknown(spark, docs):
     assert all(v == "unknown" for k, v in got.items() if k is None or k < 1000)
 
 
+def test_wrapped_and_short_licence_notices(spark, docs):
+    gpl = """This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version."""
+    bsd = """# Redistribution and use in source and binary forms, with or without
+    # modification, are permitted provided that the following conditions are
+    # met:"""
+    lgpl = """ * This library is free software; you can redistribute it and/or
+     * modify it under the terms of the GNU Lesser General Public
+     * License as published by the Free Software Foundation; either
+     * version 2.1 of the License, or (at your option) any later version."""
+    mit = "Permission is hereby granted, free of\ncharge, to any person obtaining\na copy of this software and\nassociated documentation files"
+    texts = {
+        "GPL": [gpl, "Words before.\n" + gpl + "\nWords after.", gpl.replace(" ", "\n"), "Licensed under the GNU General Public License v3.0.", "Distributed under the terms of the\nGNU GPL v2."],
+        "BSD": [bsd, "Use of this source code is governed by a BSD-style\nlicense that can be found in the LICENSE file."],
+        "LGPL": [lgpl, "Licensed under the GNU Lesser General Public License v2.1."],
+        "MIT": [mit, "int x;\nThis code is licensed under the MIT License (see LICENSE)."],
+        "Apache-2.0": ["Licensed under the Apache\nLicense, Version 2.0", "Licensed under the Apache License 2.0"],
+        "unknown": ["The GNU General Public License was written long ago.", "Licensed\n\nunder the\n\nMIT\n\nLicense", "Free software is a matter of\nthe general public."],
+    }
+    wanted = [(1000 + k, f, t) for k, (f, t) in enumerate((f, t) for f, many in texts.items() for t in many)]
+    frame = docs.select("doc_id", "text").union(spark.createDataFrame([(k, t) for k, _, t in wanted], "doc_id long, text string"))
+    got = {r["doc_id"]: r for r in licences.scan(frame).collect()}
+    assert [(k, got[k]["licence"]) for k, _, _ in wanted] == [(k, f) for k, f, _ in wanted]
+    assert got[1000]["n_paragraphs"] == 4 and all(r["licence"] == "unknown" for k, r in got.items() if k is None or k < 1000)
+
+
 def test_compression_classifier_on_held_out_rows(spark):
     small_batches(spark)
     folder = "/root/testdata/sf0.01"
