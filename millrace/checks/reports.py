@@ -27,7 +27,7 @@ MART_SQL = {
 
 
 def _mart(report, grain, spark, folder):
-    return marts.MARTS[report](whole_fact(spark, folder, marts.FEEDS_OF[report]), grain)
+    return marts.MARTS[report](whole_fact(spark, folder), grain)
 
 
 for _report, _sql in MART_SQL.items():

@@ -15,12 +15,9 @@ from millrace.sources import dimensions, events, files, messages, metrics, table
 ANCHOR = "2024-01-31 00:00:00"
 
 
-def whole_fact(spark, folder, feeds_used=("mes", "scada")):
+def whole_fact(spark, folder):
     iot, scada, mes = feeds(spark, folder)
-    fused = fact.fuse(iot, mes if "mes" in feeds_used else None, scada if "scada" in feeds_used else None)
-    if "mes" not in feeds_used or "scada" not in feeds_used:
-        return fused.withColumn("machine_id", clean.machine_no("machine_id"))
-    return fact.enrich(fused, dimensions.seed(spark, "machine_status"), dimensions.seed(spark, "alarm_codes"))
+    return fact.enrich(fact.fuse(iot, mes, scada), dimensions.seed(spark, "machine_status"), dimensions.seed(spark, "alarm_codes"))
 
 
 # --- sources and sinks
@@ -145,7 +142,7 @@ def long_metrics(spark, folder):
 @check("mart_refresh_incremental", "SELECT machine_id, CAST(ts AS DATE) AS day, CAST(sum(units_produced) AS BIGINT) AS units_produced FROM metrics GROUP BY ALL")
 def mart_refresh_incremental(spark, folder):
     """A daily mart built from an early load, then refreshed for the days the second load touches."""
-    rows = written(whole_fact(spark, folder, ("mes",)), "fact")
+    rows = written(whole_fact(spark, folder), "fact")
     cut = F.lit("2024-01-15 12:00:00").cast("timestamp_ntz")
     path = fresh_path(spark, "mart")
 

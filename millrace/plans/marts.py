@@ -46,14 +46,6 @@ VALUE_OF = {
     "power": "power_kw",
     "plant_power": "power_kw",
 }
-# Feeds a report reads; the others need not be fused for it.
-FEEDS_OF = {
-    "units": ("mes",),
-    "failures": ("scada",),
-    "efficiency": ("mes",),
-    "power": ("scada",),
-    "plant_power": ("scada",),
-}
 
 
 def daily_sums(fact: DataFrame) -> DataFrame:

@@ -67,3 +67,13 @@ def test_health(spark):
     rows = spark.createDataFrame([(0.7, 0.0, 0.0), (0.35, 1.0, 0.05), (0.0, 2.0, 0.1), (None, None, None)], "s double, d double, n double")
     score = metrics.health_score(F.col("s"), F.col("d"), F.col("n"))
     assert [r[0] for r in rows.select(metrics.health_grade(score)).collect()] == ["HEALTHY", "DEGRADED", "CRITICAL", "UNKNOWN"]
+
+
+def test_registered_marts_read_the_whole_fact_table(spark, monkeypatch):
+    from millrace.checks import registry, rows
+
+    iot, scada, mes = registry.feeds(spark, "/root/testdata/sf0.001")
+    scada = scada.withColumn("machine_status", F.lit("Unheard")).withColumn("alarm_code", F.lit("None"))
+    monkeypatch.setattr(rows, "feeds", lambda *_: (iot, scada, mes))
+    found = registry.QUERIES["failures_day"](spark, "/root/testdata/sf0.001").collect()
+    assert sum(r["failure_count"] for r in found) == 0  # a status without an entry is null in the fact table
