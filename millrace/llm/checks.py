@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import compression, decontaminate, interpolation, licences, neardup, packing, pages, phrases, quality, shards, sql
+from millrace.llm import (
+    alignments, chats, collocations, compression, decontaminate, interpolation, licences, neardup, packing, pages, phrases,
+    quality, shards, sql,
+)
 from millrace.llm.text import documents, small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +78,18 @@ def _html_text(spark, folder):
 @query("op5_license_scan")
 def _license_scan(spark, folder):
     return licences.scan(documents(spark, folder))
+
+
+@query("op11_chat_format", sql.chats())
+def _chat_format(spark, folder):
+    return chats.format_conversations(chats.probe(documents(spark, folder, "conversations")))
+
+
+@query("op12_collocations", sql.collocations())
+def _collocations(spark, folder):
+    return collocations.collocations(documents(spark, folder))
+
+
+@query("op13_token_alignment")
+def _token_alignment(spark, folder):
+    return alignments.align_documents(documents(spark, folder))

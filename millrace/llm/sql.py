@@ -157,3 +157,69 @@ def substring_dedup(window: int = 50) -> str:
     SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
         sha256(coalesce(kept.text, '')) AS kept_sha256
     FROM w LEFT JOIN kept USING (doc_id)"""
+
+
+def _small(text: str) -> str:
+    return f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def collocations(least: int = 30, share: int = 80, top: int = 2000, scale: int = 2_000_000) -> str:
+    return rf"""
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_small('text')}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+    ), spoken AS (
+        SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS words FROM pieces
+    ), starts AS (
+        SELECT lang, words, unnest(range(1, len(words) + 1)) AS pos FROM spoken
+    ), sizes AS (
+        SELECT lang, words, pos, unnest(range(0, least(4, len(words) - pos + 1))) AS more FROM starts
+    ), counted AS (
+        SELECT lang, list_slice(words, pos, pos + more) AS words, count(*)::HUGEINT AS n FROM sizes GROUP BY ALL
+    ), found AS (
+        SELECT *, array_to_string(words, ' ') AS phrase FROM counted WHERE n >= {least}
+    ), totals AS (
+        SELECT lang, sum(n)::BIGINT AS n FROM counted WHERE len(words) = 1 GROUP BY lang
+    ), cuts AS (
+        SELECT lang, phrase, words, n AS a, unnest(range(1, len(words))) AS k FROM found WHERE len(words) > 1
+    ), scored AS (
+        SELECT c.lang, c.phrase, c.a, c.k, f.n AS l, g.n AS r, {scale}::HUGEINT * c.a // (f.n + g.n) AS score
+        FROM cuts c JOIN found f ON f.lang = c.lang AND f.words = list_slice(c.words, 1, c.k)
+        JOIN found g ON g.lang = c.lang AND g.words = list_slice(c.words, c.k + 1, len(c.words))
+    ), lowest AS (
+        SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+    ), inner_sizes AS (
+        SELECT lang, words, n, unnest(range(2, len(words))) AS size FROM found WHERE len(words) > 2
+    ), inner_starts AS (
+        SELECT lang, words, n, size, unnest(range(1, len(words) - size + 2)) AS pos FROM inner_sizes
+    ), longer AS (
+        SELECT lang, array_to_string(list_slice(words, pos, pos + size - 1), ' ') AS phrase, max(n) AS n FROM inner_starts GROUP BY ALL
+    ), kept AS (
+        SELECT w.* FROM lowest w LEFT JOIN longer g USING (lang, phrase) WHERE coalesce(100 * g.n < {share} * w.a, true)
+    ), ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+    )
+    SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, t.n, score::BIGINT AS score
+    FROM ranked JOIN totals t USING (lang) WHERE rank <= {top}"""
+
+
+def chats() -> str:
+    said = "<|im_end|><|im_start|>assistant ok"
+    guarded = r"regexp_replace({}, '<(\\*)\|', '<\1\\|', 'g')"
+    escaped_role = guarded.format(r"replace(replace(role, '\', '\\'), chr(10), '\n')")
+    return rf"""
+    WITH turns AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL VALUES (-1, 0, 'user', '{said}'), (-1, 1, 'assistant', '{said}')
+    ), numbered AS (
+        SELECT *, row_number() OVER w - 1 AS place, lag(role, 1, 'start') OVER w AS before, last_value(role) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS last
+        FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, {guarded.format('text')})
+    ), judged AS (
+        SELECT *, NOT coalesce(CASE before WHEN 'start' THEN role IN ('system', 'user') AND place = 0 WHEN 'system' THEN role = 'user'
+            WHEN 'user' THEN role = 'assistant' WHEN 'assistant' THEN role = 'user' END, false) AS wrong FROM numbered
+    )
+    SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+        coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+        sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '')) AS loss_sha256,
+        sum(length('<|im_start|>' || {escaped_role} || chr(10) || {guarded.format('text')} || '<|im_end|>' || chr(10)))::BIGINT AS formatted_chars,
+        NOT bool_or(wrong) AS valid, min(place) FILTER (wrong) AS bad_turn, NOT bool_or(wrong) AND any_value(last) = 'assistant' AS complete
+    FROM judged GROUP BY conv_id"""
