@@ -23,9 +23,10 @@ TOP = 2000
 SCALE = 2_000_000
 ENTRIES = 1_000_000  # that a task's trie holds before its largest subtrees are spilled
 BURST = 8192  # entries of a container before it becomes a node
-KNOWN = 1_000_000  # words that a task numbers before it starts anew
+KNOWN = 600_000  # words that a task remembers before it starts anew
 PREFIX = 3  # words that decide a phrase's partition
 SLOT_BYTES = 16_000_000  # of text for each prefix partition
+RANKERS = 64  # tasks that rank a language's phrases before the last one does
 MOST_PARTITIONS = 20_000  # several prefix partitions share one beyond it
 FILTER_BITS = 1 << 27  # of the filter of frequent words or pairs, whatever their number
 CHUNK_BITS = 1 << 15  # of one row of Spark's bitmaps
@@ -50,7 +51,12 @@ class Filter:
     """A Bloom filter of fixed size: what it lacks is surely not frequent; what it holds is counted exactly."""
 
     def __init__(self, bits: bytes):
-        self.bits = np.frombuffer(bits, np.uint8)
+        self.plain, self.bits = bits, np.frombuffer(bits, np.uint8)
+
+    def holds(self, h: int) -> bool:
+        """The same for one hash."""
+        first, second = h & (FILTER_BITS - 1), h >> 32 & (FILTER_BITS - 1)
+        return bool(self.plain[first >> 3] >> (first & 7) & self.plain[second >> 3] >> (second & 7) & 1)
 
     @staticmethod
     def places(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -82,7 +88,9 @@ class Numbers(dict):
 
     def __missing__(self, word: bytes) -> int:
         h = word_hash(self.lang, word)
-        if not self.words.frequent(np.array([h], np.uint64))[0]:
+        self.words.known += 1
+        if not self.words.frequent.holds(h):
+            self[word] = 0
             return 0
         number = self[word] = len(self.words.names)
         self.words.names.append(word)
@@ -93,7 +101,7 @@ class Numbers(dict):
 
 class Words:
     def __init__(self, frequent: Filter):
-        self.frequent, self.by_lang = frequent, {}
+        self.frequent, self.by_lang, self.known = frequent, {}, 0
         self.names, self.langs, self.hashes = [b""], [""], array("Q", [0])
 
     def __call__(self, lang: str, items: list[bytes]) -> list[int]:
@@ -252,7 +260,7 @@ def _phrases(slots: int, entries: int, burst: int, words_filter, pairs_filter=No
                 numbers[lang].append(0)
             for mine in numbers.values():
                 count(mine)
-            if len(words.names) > KNOWN:
+            if words.known > KNOWN:
                 yield from spilled(0)
                 words, trie = Words(frequent), HatTrie(burst)
             elif trie.entries > entries:
@@ -383,7 +391,9 @@ def collocations(docs: DataFrame, least: int = LEAST, share: int = SHARE, top: i
     inner = inner.groupBy("lang", F.array_join(F.slice("words", F.col("at"), F.col("size")), " ").alias("phrase")).agg(F.max("n").alias("longer"))
     hidden = F.coalesce(wide("longer") * F.lit(100) >= wide("a") * F.lit(share), F.lit(False))
     kept = scored.join(inner, ["lang", "phrase"], "left").where(~hidden)
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
+    order = F.desc("score"), F.desc("a"), "phrase"
     ranked = kept.select("lang", "phrase", "a", "cut.l", "cut.r", F.col("cut.score").cast("long").alias("score"))
-    ranked = ranked.withColumn("rank", F.row_number().over(best).cast("long")).where(F.col("rank") <= top)
+    salted = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(RANKERS))).orderBy(*order)  # few rows are left for a language's own task
+    ranked = ranked.withColumn("rank", F.row_number().over(salted)).where(F.col("rank") <= top)
+    ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).where(F.col("rank") <= top)
     return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
