@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("rows", "reports", "models", "streams")
+MODULES = ("rows", "reports", "models", "streams", "live")
 
 
 def _load():

@@ -72,6 +72,17 @@ def codes(scada: DataFrame, *others: DataFrame) -> DataFrame:
     found = scada.select(F.inline(F.array(*entries)))
     for rows in others:
         found = found.union(rows.select(F.lit("machine_id"), "machine_id"))
+    return _ranked(found)
+
+
+def dimension_codes(machines: DataFrame, machine_status: DataFrame, alarm_codes: DataFrame) -> DataFrame:
+    """The same table from the dimensions, for streams: a code does not depend on what has arrived."""
+    named = zip(CODE_NAMES, ((machines, "machine_name"), (machine_status, "status_name"), (alarm_codes, "alarm_name")))
+    parts = [rows.select(F.lit(column).alias("column"), F.col(name).alias("value")) for column, (rows, name) in named]
+    return _ranked(parts[0].union(parts[1]).union(parts[2]))
+
+
+def _ranked(found: DataFrame) -> DataFrame:
     values = found.where("value is not null").distinct()
     rank = F.row_number().over(Window.partitionBy("column").orderBy("value")) - 1
     return written(values.withColumn("code", rank.cast("double")), "codes")

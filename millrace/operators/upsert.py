@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
@@ -30,6 +31,11 @@ def child_folders(spark: SparkSession, path: str, prefix: str) -> list[str]:
     return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{prefix}="))
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def rejects_path(path: str) -> str:
     """Where rows without a whole key are kept that were sent to the table at ``path``."""
     return f"{path.rstrip('/')}_rejects"
@@ -66,19 +72,23 @@ def last_per_key(rows: DataFrame, key: Sequence[str], version: Sequence[str]) ->
     return newest.select(*[F.col(c) if c in key else F.col(f"_row.{c}").alias(c) for c in rows.columns])
 
 
+def days_of(rows: DataFrame) -> list[dt.date]:
+    """The days of ``rows``, as many as their calendar span has."""
+    return sorted(r["day"] for r in rows.select("day").distinct().collect())
+
+
 def _of_days(table: DataFrame, rows: DataFrame) -> DataFrame:
     """The partitions of ``table`` for the days in ``rows``, named as literals so that the scan skips
     the others; the list is as long as the calendar span of ``rows``."""
-    days = [r["day"] for r in rows.select("day").distinct().collect()]
-    return table.where(F.col("day").isin(days))
+    return table.where(F.col("day").isin(days_of(rows)))
 
 
 def _replace_days(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
 
 
-def upsert(rows: DataFrame, path: str, key: Sequence[str] = KEY, version: Sequence[str] = ("event_id",)) -> None:
-    """Last write wins per key: rewrite only the days that ``rows`` touch.
+def upsert(rows: DataFrame, path: str, key: Sequence[str] = KEY, version: Sequence[str] = ("event_id",)) -> list[dt.date]:
+    """Last write wins per key: rewrite only the days that ``rows`` touch, and return them.
 
     Running the same batch twice leaves the same table. Rows without a whole key are rejected. The merged days are written to the shared
     folder before they replace the old ones.
@@ -87,12 +97,16 @@ def upsert(rows: DataFrame, path: str, key: Sequence[str] = KEY, version: Sequen
     arriving = keyed(written(rows.withColumn("day", F.to_date("ts")), "arriving"), path, key)
     present = _of_days(read_table(spark, path, rows.schema), arriving).select(*arriving.columns)
     merged = last_per_key(present.unionByName(arriving), [*key, "day"], version)
-    _replace_days(written(merged, "merged"), path)
+    merged = written(merged, "merged")
+    _replace_days(merged, path)
+    return days_of(merged)
 
 
-def insert_new(rows: DataFrame, path: str, key: Sequence[str] = KEY, version: Sequence[str] = ("event_id",)) -> None:
+def insert_new(rows: DataFrame, path: str, key: Sequence[str] = KEY, version: Sequence[str] = ("event_id",)) -> list[dt.date]:
     """First write wins per key: append rows whose key the table lacks; running twice adds nothing.
 
+    Returns the days that ``rows`` touch, whether or not their keys were new: after a failure between
+    append and bookkeeping the repeated load names them again.
     Rows without a whole key are rejected.
     """
     spark = rows.sparkSession
@@ -103,6 +117,7 @@ def insert_new(rows: DataFrame, path: str, key: Sequence[str] = KEY, version: Se
     present = _of_days(read_table(spark, path, rows.schema), arriving)
     fresh = written(only_new(first, present, (*key, "day")), "fresh")
     fresh.write.mode("append").partitionBy("day").parquet(path)
+    return days_of(arriving)
 
 
 def refresh_days(fact: DataFrame, changed_days: DataFrame, aggregate, path: str) -> None:

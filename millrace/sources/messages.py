@@ -2,25 +2,33 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace import schemas
 from millrace.functions import clean
+from millrace.operators.scan import running_sum
 from millrace.sources.files import field_names, renamed, to_utc
+from millrace.sources.offsets import record_id
 
 BAD = "_bad"
 
 
-def kafka_messages(spark: SparkSession, servers: str, topics: Sequence[str], starting: str = "earliest") -> DataFrame:
-    """Messages of several topics as a stream; needs the Kafka connector on the class path."""
-    rows = (
+def kafka_messages(
+    spark: SparkSession, servers: str, topics: Sequence[str], starting: str = "earliest", per_trigger: int | None = None,
+) -> DataFrame:
+    """Messages of several topics as a stream; needs the Kafka connector on the class path.
+
+    ``per_trigger`` bounds the records that one batch admits, also after a long stop.
+    """
+    reader = (
         spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
-        .option("subscribe", ",".join(topics)).option("startingOffsets", starting).load()
+        .option("subscribe", ",".join(topics)).option("startingOffsets", starting)
     )
+    rows = (reader.option("maxOffsetsPerTrigger", per_trigger) if per_trigger else reader).load()
     return rows.select("topic", "partition", "offset", F.col("value").cast("string").alias("value"))
 
 
@@ -30,6 +38,49 @@ def message_files(spark: SparkSession, path: str, files_per_batch: int = 16) ->
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).text(path)
 
 
+RECORD = T.StructType([
+    T.StructField("topic", T.StringType()), T.StructField("partition", T.IntegerType()), T.StructField("offset", T.LongType()),
+    T.StructField("value", T.StringType()),
+])
+
+
+def record_files(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+    """The columns of ``kafka_messages`` from files of ``write_record_files``."""
+    reader = spark.readStream.schema(RECORD)
+    return (reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader).parquet(path)
+
+
+def write_record_files(records: DataFrame, path: str) -> None:
+    records.select(*[f.name for f in RECORD.fields]).write.mode("append").parquet(path)
+
+
+def in_log(messages: DataFrame, partitions: Mapping[str, int], order: str, slice_: Column) -> DataFrame:
+    """Adds ``partition`` (by key) and ``offset`` as a broker numbers them that receives the messages by ``order``.
+
+    ``order`` must be unique; ``slice_`` cuts it, so that no task numbers a whole partition.
+    """
+    count = F.create_map(*[F.lit(x) for pair in partitions.items() for x in pair])[F.col("topic")]
+    dealt = messages.withColumn("partition", F.pmod(F.crc32("key"), count).cast("int"))
+    numbered = running_sum(dealt, ["topic", "partition"], [order], slice_, "_place")
+    return numbered.withColumn("offset", F.col("_place") - 1).drop("_place")
+
+
+def parse_topics(records: DataFrame, source_tz: str = "UTC") -> DataFrame:
+    """All feeds from their messages in one pass: ``topic`` (the feed), ``event_id`` (see ``offsets.record_id``) and typed columns.
+
+    Fields that a feed lacks are null. ``is_rejected`` marks text that does not parse, topics that
+    no feed has, and records without offset.
+    """
+    fields = {f.name: f for schema in schemas.MESSAGES.values() for f in schema.fields}
+    body = F.from_json("value", T.StructType([*fields.values(), T.StructField(BAD, T.StringType())]), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD})
+    feed = F.create_map(*[F.lit(x) for name, topic in schemas.TOPICS.items() for x in (topic, name)])[F.col("topic")]
+    rows = records.select(feed.alias("topic"), record_id().alias("event_id"), body.alias("_m"))
+    ts = to_utc(clean.parse_ts("_m.Timestamp"), source_tz)
+    rejected = F.coalesce(F.col(f"_m.{BAD}").isNotNull(), F.lit(True)) | ts.isNull() | F.col("topic").isNull() | F.col("event_id").isNull()
+    columns = [F.col(f"_m.{f}").alias(schemas.COLUMN_OF[f]) for f in fields if f not in ("Timestamp", "Alarm_Code")]
+    return rows.select("topic", "event_id", ts.alias("ts"), *columns, clean.norm_alarm("_m.Alarm_Code").alias("alarm_code"), rejected.alias("is_rejected"))
+
+
 def parse(messages: DataFrame, feed: str, source_tz: str = "UTC") -> DataFrame:
     """Typed columns of one feed from its messages; ``is_rejected`` marks text that does not parse.
 
@@ -46,14 +97,14 @@ def parse(messages: DataFrame, feed: str, source_tz: str = "UTC") -> DataFrame:
     return out.withColumn("alarm_code", clean.norm_alarm("alarm_code")) if feed == "scada" else out
 
 
-def publishable(rows: DataFrame, feed: str) -> DataFrame:
-    """(``topic``, ``key``, ``value``): one JSON object per row, keyed by machine."""
-    columns = [schemas.COLUMN_OF[f.name] for f in schemas.MESSAGES[feed].fields]
-    text = rows.select(*columns).withColumn("ts", clean.format_ts("ts"))
+def publishable(rows: DataFrame, feed: str, keep: Sequence[str] = ()) -> DataFrame:
+    """(``topic``, ``key``, ``value``): one JSON object per row, keyed by machine; columns in ``keep`` stay beside it."""
+    names = [f.name for f in schemas.MESSAGES[feed].fields]
+    text = rows.select(*[schemas.COLUMN_OF[n] for n in names], *keep).withColumn("ts", clean.format_ts("ts"))
     if feed == "scada":
         text = text.withColumn("alarm_code", clean.denorm_alarm("alarm_code"))
     text = field_names(text)
-    return text.select(F.lit(schemas.TOPICS[feed]).alias("topic"), F.col("Machine_ID").alias("key"), F.to_json(F.struct("*")).alias("value"))
+    return text.select(F.lit(schemas.TOPICS[feed]).alias("topic"), F.col("Machine_ID").alias("key"), F.to_json(F.struct(*names)).alias("value"), *keep)
 
 
 def write_kafka(messages: DataFrame, servers: str) -> None:

@@ -16,6 +16,7 @@ from millrace.operators import fact, linear
 from millrace.operators.linear import Weights
 from millrace.operators.state import latest_state
 from millrace.operators.upsert import KEY, insert_new, keyed, upsert
+from millrace.plans.changes import ChangeLog
 from millrace.session import written
 from millrace.sources import dimensions
 from millrace.streaming.runs import BatchFolders, Snapshots, per_batch
@@ -42,12 +43,15 @@ class FactLoader:
     A sensor row is loaded when an event at least the largest tolerance newer has been seen; by
     then, for input in time order, its nearest rows have arrived. A batch reads only the days
     from shortly before its oldest unsettled row on. Every step can be repeated for the same batch.
-    Rows without time or machine are kept apart, beside the staged ones.
+    Rows without time or machine are kept apart, beside the staged ones. Of rows with the same time
+    and machine the one that arrived first counts (the smallest ``event_id`` within a load).
     """
 
-    def __init__(self, spark: SparkSession, folder: str, table: str, after: Callable[[str], None] | None = None):
-        """``after`` is called with the first day a batch may have changed, for example to refresh marts."""
-        self.spark, self.table, self.after = spark, table, after
+    def __init__(
+        self, spark: SparkSession, folder: str, table: str, after: Callable[[str], None] | None = None, log: ChangeLog | None = None,
+    ):
+        """``after`` is called with the first day a batch may have changed; ``log`` is told the days that it did touch."""
+        self.spark, self.table, self.after, self.log = spark, table, after, log
         self.staged = BatchFolders(spark, f"{folder}/rows", TOPIC_SCHEMA)
         self.marks = Snapshots(spark, f"{folder}/marks", MARK_SCHEMA)
 
@@ -66,9 +70,13 @@ class FactLoader:
         staged = staged.where(F.col("ts").between(F.lit(low - SETTLE), F.lit(high)))
         parts = {t: staged.where(F.col("topic") == t).select(*FEED_KEY, *schemas.FEED_COLUMNS[t]) for t in schemas.FEED_COLUMNS}
         settled = F.col("ts").between(F.lit(low), F.lit(high - SETTLE))
-        fused = fact.fuse(parts["iot"].where(settled), parts["mes"], parts["scada"])
+        iot = parts["iot"].where(settled)
+        first = iot.groupBy("ts", "machine_id").agg(F.min_by(F.struct(*iot.columns), "event_id").alias("r")).select("r.*")
+        fused = fact.fuse(first, parts["mes"], parts["scada"])
         seeds = [dimensions.seed(self.spark, name) for name in ("machine_status", "alarm_codes")]
-        insert_new(fact.enrich(fused, *seeds), self.table, version=("temperature_c",))
+        days = insert_new(fact.enrich(fused, *seeds), self.table, version=("temperature_c",))
+        if self.log is not None:
+            self.log.write(days, f"batch-{batch}")
         if self.after is not None:
             self.after((low - ONE_DAY).date().isoformat())
         self.marks.write(self.spark.createDataFrame([(high,)], MARK_SCHEMA), batch)

@@ -20,6 +20,11 @@ def replay(writer: DataStreamWriter, spark: SparkSession, name: str) -> None:
     writer.option("checkpointLocation", fresh_path(spark, f"{name}-checkpoint")).trigger(availableNow=True).start().awaitTermination()
 
 
+def resume(writer: DataStreamWriter, folder: str) -> None:
+    """Process what has arrived since the last call, then stop; progress is kept beside the state in ``folder``."""
+    writer.option("checkpointLocation", f"{folder.rstrip('/')}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+
+
 def follow(writer: DataStreamWriter, checkpoint: str, every: str = "1 minute"):
     """Run until stopped, one batch per interval."""
     return writer.option("checkpointLocation", checkpoint).trigger(processingTime=every).start()

@@ -6,15 +6,18 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.checks import streams
-from millrace.operators import affinity, fact
+from millrace.checks import live, streams
+from millrace.operators import affinity, align, fact
 from millrace.operators import state as latest
 from millrace.operators.asof import nearest_within
 from millrace.operators.upsert import read_table
 from millrace.plans import jobs, marts
-from millrace.sources import events
+from millrace.operators.scaling import Scaler
+from millrace.sources import dimensions, events, messages, offsets
 from millrace.streaming import load, runs
 from millrace.streaming import state as kept
+from millrace.streaming.classify import OnlineClassifier
+from millrace.streaming.fusion import stream_matches
 from millrace.streaming.nearest import stream_nearest
 
 FOLDER = "/root/testdata/sf0.001"
@@ -161,3 +164,48 @@ def test_only_trigger_topics_score(spark, parts, tmp_path):
         runs.replay(load.keep_scores(rows, state, scores, streams.POWER_INPUTS, streams.WEIGHTS, triggers=triggers), spark, name)
         scored[name] = scores.read().groupBy("batch").count().collect()
     assert len(scored["all"]) == 4 and scored["none"] == []
+
+
+def test_fusion_over_batches_keeps_unmatched_and_drops_late_rows(spark, parts, tmp_path):
+    rows = stream(spark, parts)
+    columns = ["temperature_c", "vibration_mm_s", "pressure_bar"]
+    found = stream_matches(events.iot(rows), [fact.mes_feed(events.mes(rows)), fact.scada_feed(events.scada(rows))], columns)
+    runs.replay(runs.to_table(found, str(tmp_path / "out")), spark, "fuse")
+    source = events.read_events(spark, FOLDER)
+    feeds = [fact.mes_feed(events.mes(source)), fact.scada_feed(events.scada(source))]
+    batch = nearest_within(events.iot(source), feeds, ["machine_id"])
+    got = plain(spark.read.schema(found.schema).parquet(str(tmp_path / "out")))
+    assert got == plain(batch) and any("power_kw=None" in r and "units_produced=None" in r for r in got)
+
+
+def test_a_repeated_batch_leaves_the_classifier_as_it_is(spark, tmp_path):
+    seeds = [dimensions.seed(spark, name) for name in ("machines", "machine_status", "alarm_codes")]
+    scaler = Scaler({c: m for c, (m, _) in live.CENTRES.items()}, {c: s for c, (_, s) in live.CENTRES.items()})
+    model = OnlineClassifier(spark, str(tmp_path), "machine_status", live.CLASSES["machine_status"], align.dimension_codes(*seeds), scaler)
+    rows = topics(events.read_events(spark, FOLDER).withColumn("ts", F.col("ts").cast("timestamp")))
+    early, late = rows.where("ts < '2024-01-15'"), rows.where("ts >= '2024-01-15'")
+    model.step(early, 0)
+    model.step(late, 1)
+    once = [plain(x, False) for x in (model.weights.latest(), model.state.latest(), model.predictions.read())]
+    model.step(late, 1)
+    assert [plain(x, False) for x in (model.weights.latest(), model.state.latest(), model.predictions.read())] == once
+    model.step(rows.limit(0), 2)
+    assert plain(model.weights.latest(), False) == once[0]
+
+
+def test_messages_of_all_topics_parse_in_one_pass(spark):
+    good = '{"Timestamp":"2024-01-01 00:00:00","Machine_ID":"Machine_1","Power_Consumption_kW":1.5,"Machine_Status":"Idle","Alarm_Code":""}'
+    rows = [("scada-data", 3, 7, good), ("scada-data", 3, 8, "{"), ("other", 0, 1, good), ("scada-data", 0, None, good), ("mes-data", 1, 2, None)]
+    parsed = messages.parse_topics(spark.createDataFrame(rows, messages.RECORD)).collect()
+    assert [r["is_rejected"] for r in parsed] == [False, True, True, True, True]
+    assert (parsed[0]["topic"], parsed[0]["event_id"], parsed[0]["power_kw"], parsed[0]["alarm_code"]) == ("scada", 7 * 4096 + 3, 1.5, "None")
+
+
+def test_gaps_across_blocks_and_partitions_without_records(spark):
+    at = [0, 1, 5, 4095, 4096, 4100, 20_000, 20_000]
+    records = spark.createDataFrame([("a", 0, x) for x in at] + [("a", 1, 9), ("a", 1, None)], "topic string, partition int, offset long")
+    got = sorted(tuple(r) for r in offsets.gaps(records).collect())
+    assert got == [("a", 0, 2, 4, 3), ("a", 0, 6, 4094, 4089), ("a", 0, 4097, 4099, 3), ("a", 0, 4101, 19_999, 15_899)]
+    ends = spark.createDataFrame([("a", 0, 20_005), ("a", 1, 10), ("b", 0, 4)], "topic string, partition int, end_offset long")
+    got = sorted(tuple(r) for r in offsets.ledger(records, ends).collect())
+    assert got == [("a", 0, 0, 20_000, 8, 1, 20_001 - 7, 4), ("a", 1, 9, 9, 1, 0, 0, 0), ("b", 0, None, None, 0, 0, None, 4)]
