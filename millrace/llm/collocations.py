@@ -14,7 +14,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.text import mixed, partitions, stored
+from millrace.llm.text import Filter, filter_of_places, mixed, partitions, stored
 
 LONGEST = 4  # words of a phrase
 LEAST = 30  # occurrences of a candidate
@@ -28,8 +28,6 @@ PREFIX = 3  # words that decide a phrase's partition
 SLOT_BYTES = 16_000_000  # of text for each prefix partition
 RANKERS = 64  # tasks that rank a language's phrases before the last one does
 MOST_PARTITIONS = 20_000  # several prefix partitions share one beyond it
-FILTER_BITS = 1 << 27  # of the filter of frequent words or pairs, whatever their number
-CHUNK_BITS = 1 << 15  # of one row of Spark's bitmaps
 
 # Fixed value: the characters that end a piece.
 SEPARATORS = b".,;:!?\n\x0b\x0c\r"
@@ -47,31 +45,12 @@ def spoken(text: bytes | None) -> list[bytes]:
     return (text or b"").lower().translate(TO_BREAK).replace(BREAK, b" " + BREAK + b" ").split()
 
 
-class Filter:
-    """A Bloom filter of fixed size: what it lacks is surely not frequent; what it holds is counted exactly."""
-
-    def __init__(self, bits: bytes):
-        self.plain, self.bits = bits, np.frombuffer(bits, np.uint8)
-
-    def holds(self, h: int) -> bool:
-        """The same for one hash."""
-        first, second = h & (FILTER_BITS - 1), h >> 32 & (FILTER_BITS - 1)
-        return bool(self.plain[first >> 3] >> (first & 7) & self.plain[second >> 3] >> (second & 7) & 1)
-
-    @staticmethod
-    def places(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        size = np.uint64(FILTER_BITS - 1)
-        return h & size, (h >> np.uint64(32)) & size
-
-    def __call__(self, h: np.ndarray) -> np.ndarray:
-        found = np.ones(len(h), bool)
-        for place in self.places(h):
-            found &= (self.bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
-        return found
+def language_seed(lang: str) -> int:
+    return zlib.crc32(lang.encode())
 
 
 def word_hash(lang: str, word: bytes) -> int:
-    return xxhash.xxh64_intdigest(word, zlib.crc32(lang.encode()))
+    return xxhash.xxh64_intdigest(word, language_seed(lang))
 
 
 def pair_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -84,12 +63,12 @@ class Numbers(dict):
 
     def __init__(self, lang: str, words: Words):
         super().__init__({BREAK: 0})
-        self.lang, self.words = lang, words
+        self.lang, self.words, self.seed, self.holds = lang, words, language_seed(lang), words.frequent.holds
 
     def __missing__(self, word: bytes) -> int:
-        h = word_hash(self.lang, word)
+        h = xxhash.xxh64_intdigest(word, self.seed)
         self.words.known += 1
-        if not self.words.frequent.holds(h):
+        if not self.holds(h):
             self[word] = 0
             return 0
         number = self[word] = len(self.words.names)
@@ -172,7 +151,7 @@ class HatTrie:
                         yield (first, second, *unpacked(rest)), n
             else:
                 for rest, n in node.items():
-                    yield (first, *unpacked(rest)), n
+                    yield (first, *unpacked(rest)) if rest >> 32 else (first, rest), n
 
 
 def unpacked(rest: int) -> list[int]:
@@ -183,20 +162,16 @@ def unpacked(rest: int) -> list[int]:
     return out[::-1]
 
 
-def run_rows(counts: Iterator[tuple[str, bytes, int]], slots: int) -> Iterator[pa.RecordBatch]:
-    """(language, phrase, count) as one sorted run per language and prefix partition."""
+def run_rows(counts: Iterator[tuple[str, bytes, bytes, int]], slots: int) -> Iterator[pa.RecordBatch]:
+    """(language, prefix, phrase, count) as one sorted run per language and prefix partition."""
     runs = defaultdict(list)
-    for lang, phrase, n in counts:
-        at = -1
-        for _ in range(PREFIX):
-            at = phrase.find(b" ", at + 1)
-            if at < 0:
-                break
-        runs[lang, zlib.crc32(phrase if at < 0 else phrase[:at]) % slots].append((phrase, n))
+    for lang, prefix, phrase, n in counts:
+        runs[lang, zlib.crc32(prefix) % slots].append((phrase, n))
     pack = zstandard.ZstdCompressor(level=1).compress
     for (lang, slot), run in runs.items():
         run.sort()
-        values = (slot, lang, pack(b"\n".join([p for p, _ in run])), pack(np.array([n for _, n in run], np.uint64).tobytes()))
+        phrases, n = zip(*run)
+        values = (slot, lang, pack(b"\n".join(phrases)), pack(np.array(n, np.uint64).tobytes()))
         yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, RUNS)], schema=RUNS)
 
 
@@ -206,7 +181,7 @@ def _words(slots: int, entries: int):
         tables: dict[str, dict[bytes, int]] = defaultdict(lambda: defaultdict(int))
 
         def spilled():
-            yield from run_rows(((lang, word, n) for lang, table in tables.items() for word, n in table.items()), slots)
+            yield from run_rows(((lang, word, word, n) for lang, table in tables.items() for word, n in table.items()), slots)
             tables.clear()
 
         for rows in batches:
@@ -231,7 +206,13 @@ def _phrases(slots: int, entries: int, burst: int, words_filter, pairs_filter=No
 
         def spilled(keep):
             names, langs = words.names, words.langs
-            yield from run_rows(((langs[p[0]], b" ".join([names[w] for w in p]), n) for p, n in trie.taken(keep)), slots)
+
+            def named():
+                for phrase, n in trie.taken(keep):
+                    said = b" ".join([names[w] for w in phrase])
+                    yield langs[phrase[0]], said if len(phrase) <= PREFIX else b" ".join([names[w] for w in phrase[:PREFIX]]), said, n
+
+            yield from run_rows(named(), slots)
 
         def count(numbers):
             a = np.array(numbers, np.uint64)
@@ -322,15 +303,8 @@ def _filter_places(pairs: bool):
 
 
 def filter_of(frequent: DataFrame, pairs: bool):
-    """Broadcast filter of (lang, phrase): its size is ``FILTER_BITS`` whatever it holds, and so is what reaches the driver."""
-    places = frequent.select("lang", "phrase").mapInArrow(_filter_places(pairs), "place long")
-    chunks = places.groupBy(F.expr(f"place div {CHUNK_BITS}").alias("chunk")).agg(
-        F.bitmap_construct_agg(F.col("place") % CHUNK_BITS).alias("bits")
-    )
-    bits, width = bytearray(FILTER_BITS // 8), CHUNK_BITS // 8
-    for r in chunks.collect():
-        bits[r["chunk"] * width : (r["chunk"] + 1) * width] = r["bits"]
-    return frequent.sparkSession.sparkContext.broadcast(bytes(bits))
+    """Broadcast filter of (lang, phrase)."""
+    return filter_of_places(frequent.select("lang", "phrase").mapInArrow(_filter_places(pairs), "place long"))
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST, entries: int = ENTRIES, burst: int = BURST) -> tuple[DataFrame, DataFrame]:
