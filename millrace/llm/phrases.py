@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.text import WordHashes, batch, mixed, partitions, rolling, stored, words
+from millrace.llm.text import WordHashes, batch, filter_of_ids, held_by, mixed, partitions, rolling, stored, words
 
 WINDOW = 50  # words
 ANCHOR = 16  # words of an anchor; one of the WINDOW - ANCHOR + 1 in a window is its least
@@ -196,7 +196,8 @@ def marked(docs: DataFrame, whole: bool) -> DataFrame:
     """Every row with what is known after the first pass, written once.
 
     ``copy``: an equal text has a smaller id; ``positions``: of anchors that another text has too,
-    else null. The text stays with rows that have positions, or with all if ``whole``.
+    else null. The text stays with rows that have positions, or within all rows if ``whole``. Only rows
+    that a filter of fixed size takes for marked are shuffled to their marks; the others stay in place.
     """
     keyed = _keyed(docs)
     texts = keyed.select("ord", "h1", F.col("text").cast("binary").alias("text"))
@@ -211,14 +212,19 @@ def marked(docs: DataFrame, whole: bool) -> DataFrame:
     known = positions.withColumn("copy", F.lit(False)).unionByName(
         copies.select("ord", "h1", F.lit(None).cast("array<int>").alias("positions"), F.lit(True).alias("copy"))
     )
-    rows = keyed.join(known, ["ord", "h1"], "left").withColumn("words", words(F.col("text")))
-    kept_text = F.col("text") if whole else F.when(F.col("positions").isNotNull(), F.col("text"))
+    known = stored(known, "known")
+    held = held_by(filter_of_ids(known.select("h1")))(F.col("h1"))
+    lean = keyed.select("row", "ord", "h1")  # the text goes along once, within the row
+    rows = lean.where(held).join(known, ["ord", "h1"], "left").unionByName(lean.where(~held), allowMissingColumns=True)
+    rows = rows.withColumn("text", F.coalesce(F.col("row.text"), F.lit("")))
+    found = words(F.col("text"))
     rows = rows.select(
         (F.col("row") if whole else F.struct(F.col("row.doc_id").alias("doc_id"))).alias("row"), "ord", "h1", "positions",
-        F.coalesce("copy", F.lit(False)).alias("copy"), kept_text.alias("text"),
-        F.size("words").cast("long").alias("n_words"), F.sha2(F.array_join("words", " "), 256).alias("sha"),
+        F.coalesce("copy", F.lit(False)).alias("copy"), *([] if whole else [F.when(F.col("positions").isNotNull(), F.col("text")).alias("text")]),
+        F.size(found).cast("long").alias("n_words"), *([] if whole else [F.sha2(F.array_join(found, " "), 256).alias("sha")]),
     )
-    return stored(rows, "marked")
+    rows = stored(rows, "marked")
+    return rows.withColumn("text", F.coalesce(F.col("row.text"), F.lit(""))) if whole else rows
 
 
 def occurrences(candidates: DataFrame) -> DataFrame:
