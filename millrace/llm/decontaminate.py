@@ -271,7 +271,9 @@ def _search(indexes: list[Index], threshold: float, wanted: float):
     return run
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, wanted: float = OVERLAP) -> DataFrame:
+def decontaminate(
+    docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, wanted: float = OVERLAP, slice_items: int = SLICE_ITEMS,
+) -> DataFrame:
     """(doc_id, h1, n_passages, items, leaks) of every row of ``docs``; ``items`` has (item_id, text).
 
     Every document is cut into passages of two halves, each as long as the longest item, one half
@@ -281,7 +283,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, threshold: float = THRESHOL
     overlap of the whole item are then taken on the words around, an item's length to both sides.
 
     The documents are never shuffled. The index goes to the tasks in slices of ``SLICE_ITEMS``
-    items; a larger benchmark takes more passes, whose results are put together by row. Items
+    items; a larger benchmark takes more passes, whose results are put together by id and text. Items
     without words or without id match nothing, nor do null or empty texts; equal items are all reported.
     """
     spark = docs.sparkSession
@@ -289,7 +291,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, threshold: float = THRESHOL
     n, mean, words = statistics(items)
     holders = words.select(F.explode(F.array_distinct("words")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     numbered = stored(items, "items")
-    most = max(1, -(-n // SLICE_ITEMS))
+    most = max(1, -(-n // slice_items))
     sliced = numbered.withColumn("slice", F.pmod(F.xxhash64("item_id", "text"), F.lit(most)))
     holders = stored(holders, "holders")
     texts = docs.select(
@@ -307,10 +309,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, threshold: float = THRESHOL
         results = found if results is None else results.union(found)
     if most == 1:
         return results
+    # Rows of the same id and text have the same result in every slice, and come out as often as they went in.
     return results.groupBy("doc_id", "h1").agg(
-        F.max("n_passages").alias("n_passages"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("leaks")))).alias("leaks"),
-    )
+        F.count(F.lit(1)).alias("n"), F.max("n_passages").alias("n_passages"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("leaks")))).alias("leaks"),
+    ).select("*", F.explode(F.sequence(F.lit(1), F.expr(f"n div {most}")))).select("doc_id", "h1", "n_passages", "items", "leaks")
 
 
 def _broadcast_search(indexes, threshold: float, wanted: float):
@@ -331,4 +334,4 @@ def drop_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs``, columns unchanged, that hold no item."""
     found = stored(decontaminate(docs, items).where("size(leaks) > 0").select(F.col("doc_id").alias("_id"), F.col("h1").alias("_h1")).distinct(), "leaks")
     hashed = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
-    return docs.join(found, docs["doc_id"].eqNullSafe(F.col("_id")) & (hashed == F.col("_h1")), "left_anti")
+    return docs.join(found, docs["doc_id"].eqNullSafe(found["_id"]) & (hashed == found["_h1"]), "left_anti")

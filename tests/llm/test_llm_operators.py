@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import binfill, compression, decontaminate, interpolation, licences, neardup, packing, pages, phrases, quality, shards
 from millrace.llm.stars import components
-from millrace.llm.text import small_batches
+from millrace.llm.text import filter_of_ids, held_by, release, small_batches, stored
 
 DOCS = "doc_id long, text string, lang string, n_words long"
 
@@ -321,3 +321,40 @@ def test_compression_classifier_on_held_out_rows(spark):
     scored = compression.score_documents(docs, labels).join(labels, "doc_id").where("held_out")
     right = scored.agg(F.avg((F.col("predicted") == F.col("quality")).cast("double"))).first()[0]
     assert right > 0.9
+
+
+def test_repeated_rows_come_out_as_often_from_several_slices(spark):
+    said = "which river flows through the old town of vienna and budapest the danube flows through both of them"
+    rows = [(1, said), (1, said), (1, "x " + said), (None, said), (None, said), (2, "nothing of the kind"), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame([(k, said if k == 4 else f"item {k} asks for word{k} and gets answer{k} of {k * 7}") for k in range(9)], "item_id long, text string")
+    one, three = (
+        sorted((repr(r["doc_id"]), r["h1"], r["items"], r["leaks"]) for r in decontaminate.decontaminate(docs, marks, slice_items=n).collect()) for n in (8192, 3)
+    )
+    assert one == three and len(one) == len(rows) and sum(r[3] == [4] for r in one) == 5
+
+
+def test_clashing_names_and_release_of_working_tables(spark, tmp_path):
+    said = "which river flows through the old town of vienna and budapest the danube flows through both of them"
+    rows = [(1, said, 5, 6, 7), (2, "alpha beta gamma delta epsilon zeta " * 3, 5, 6, 7), (3, "alpha beta gamma delta epsilon zeta " * 3, 5, 6, 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _id long, _h1 long, _dropped long")
+    clean = decontaminate.drop_leaks(docs, spark.createDataFrame([(4, said)], "item_id long, text string"))
+    assert sorted(r["doc_id"] for r in clean.collect()) == [2, 3]
+    first = neardup.keep_first(docs)
+    assert sorted(r["doc_id"] for r in first.collect()) == [1, 2] and first.columns == docs.columns
+    first.write.parquet(str(tmp_path / "out"))
+    read = spark.read.parquet(str(tmp_path / "out"))
+    mine = stored(docs, "mine")
+    release(mine)
+    assert mine.count() == 3
+    release(read)
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist|PATH_NOT_FOUND"):
+        mine.count()
+
+
+def test_filter_of_ids_holds_its_ids(spark):
+    ids = spark.range(-500, 500)
+    held = held_by(filter_of_ids(ids))
+    found = spark.createDataFrame([(k,) for k in range(-1000, 1000)] + [(None,)], "id long").withColumn("held", held("id")).collect()
+    assert all(r["held"] for r in found if r["id"] is not None and -500 <= r["id"] < 500)
+    assert sum(r["held"] for r in found) < 1010 and not found[-1]["held"]
