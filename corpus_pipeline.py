@@ -10,31 +10,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import decontaminate, neardup, packing, phrases, quality
-from millrace.llm.text import documents, small_batches, stored
+from millrace.llm.text import documents, release, small_batches, stored
 
 
-def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def prepared(spark: SparkSession, docs: DataFrame) -> None:
+    """Small batches of texts; the working tables of the stage before go, as its output has been written."""
     small_batches(spark)
+    release(docs)
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepared(spark, docs)
     return quality.keep_good(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    small_batches(spark)
+    prepared(spark, docs)
     return neardup.keep_first(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    small_batches(spark)
+    prepared(spark, docs)
     return phrases.cut_repeats(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    small_batches(spark)
+    prepared(spark, docs)
     return decontaminate.drop_leaks(docs, documents(spark, sf_dir, "benchmark"))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    small_batches(spark)
+    prepared(spark, docs)
     return packing.pack(docs)
 
 
