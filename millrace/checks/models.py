@@ -6,6 +6,7 @@ from functools import partial
 
 from pyspark.sql import functions as F
 
+from millrace.checks import descents
 from millrace.checks.registry import all_topics, check, feed, feeds, hourly
 from millrace.checks.reports import energy_points, performance_rows
 from millrace.functions import kpis
@@ -89,7 +90,7 @@ def argmax_decode(spark, folder):
     return rows.select("event_id", linear.best_class(scores).alias("predicted"))
 
 
-# --- fits (no SQL form; the tests check bounds)
+# --- fits (descents against one recursive step each; the tests check bounds of the rest)
 
 
 def state_training(spark, folder):
@@ -123,7 +124,7 @@ def _regressor(target, spark, folder):
 
 
 for _key, _target in TARGET_KEYS.items():
-    check(f"{_key}_model")(partial(_regressor, _target))
+    check(f"{_key}_model", descents.quality_sql(), descents.fitted(_target), descents.METRICS, recursive=True)(partial(_regressor, _target))
 
 
 def _current(spark, folder):
@@ -137,7 +138,7 @@ def _forecast(target, spark, folder):
 
 
 for _key, _target in TARGET_KEYS.items():
-    check(f"forecast_{_key}")(partial(_forecast, _target))
+    check(f"forecast_{_key}", descents.forecast_sql(_target), descents.fitted(_target), recursive=True)(partial(_forecast, _target))
 
 
 def _forecast_class(label, spark, folder):

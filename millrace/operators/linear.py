@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,57 +59,87 @@ def gradient_step(
     return df.agg(*moved, (F.lit(weights.intercept) - F.lit(eta) * F.avg(error)).alias("b"))
 
 
-def descend(
-    df: DataFrame, features: Sequence[str], target: str, schedule: Schedule, passes: int,
-    start: Weights | None = None, chunk: int = 16,
-) -> Weights:
-    """Stochastic gradient descent over all rows, ``passes`` times.
+@dataclass(frozen=True)
+class Moments:
+    """Sums of products of (features, 1) and of the target, one set per mini-batch that has rows."""
+
+    n: np.ndarray
+    products: np.ndarray
+    target: np.ndarray
+    target_square: np.ndarray
+
+    def mse(self, w: np.ndarray) -> float:
+        """Mean squared error over all rows; infinite where the sums overflow."""
+        with np.errstate(all="ignore"):
+            total = w @ self.products.sum(0) @ w - 2 * (w @ self.target.sum(0)) + self.target_square.sum()
+            return float(total / self.n.sum()) if np.isfinite(total) else float("inf")
+
+
+BATCHES = 256
+
 
-    In each pass every partition walks its rows from the common weights, ``chunk`` rows per step
-    (their gradients are added), and the partitions' weights are averaged by row count. One row of
-    weights per partition is aggregated; only the averaged weights reach the driver. Steps are
-    numbered on from pass to pass by the mean rows of a partition. If a partition overflows, the
-    descent ends with the weights before that pass.
+def moments(df: DataFrame, features: Sequence[str], target: str, key: Sequence[str] | None = None, batches: int = BATCHES) -> Moments:
+    """One aggregation over all rows: what every step of a squared-loss descent needs to know of them.
+
+    A row's mini-batch is the hash of its ``key`` (the features and the target if none is given), so it
+    depends neither on partitions nor on order. ``batches`` sets of (features + 2) squared over two sums
+    are all that reaches the driver, at any number of rows. Rows with a missing value are left out; a
+    table without rows gives no sets.
+    """
+    names = list(key or [*features, target])
+    text = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in names]))
+    number = F.conv(F.substring(text, 1, 4), 16, 10).cast("int") % batches
+    x = [F.col(c).cast("double").alias(f"x_{i}") for i, c in enumerate(features)]
+    rows = df.select(number.alias("b"), *x, F.lit(1.0).alias(f"x_{len(x)}"), F.col(target).cast("double").alias("y")).na.drop()
+    size = len(x) + 1
+    pairs = [(i, j) for i in range(size) for j in range(i, size)]
+    found = rows.groupBy("b").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("y") * F.col("y")).alias("yy"),
+        *[F.sum(F.col(f"x_{i}") * F.col("y")).alias(f"y_{i}") for i in range(size)],
+        *[F.sum(F.col(f"x_{i}") * F.col(f"x_{j}")).alias(f"m_{i}_{j}") for i, j in pairs],
+    ).orderBy("b").collect()
+    products = np.zeros((len(found), size, size))
+    for i, j in pairs:
+        products[:, i, j] = products[:, j, i] = [r[f"m_{i}_{j}"] for r in found]
+    goals = np.array([[r[f"y_{i}"] for i in range(size)] for r in found]).reshape(len(found), size)
+    return Moments(np.array([r["n"] for r in found]), products, goals, np.array([r["yy"] for r in found]))
+
+
+def descend_moments(sums: Moments, schedule: Schedule, passes: int, start: Weights, gain: int = 16) -> Weights:
+    """Mini-batch descent over the sums: one step per mini-batch, ``passes`` times through all of them.
+
+    A step takes the mean gradient of its mini-batch and counts as ``gain`` rows, however many rows the
+    mini-batch has, so the weights are alike at every size. Averaged schedules give the mean of the
+    weights after each step. A pass that ends with a greater error than ``start`` has, or overflows, is
+    undone and ends the descent.
     """
-    names, size = list(features), len(features)
-    weights = start or Weights((0.0,) * size, 0.0)
-    rows = df.select(*[F.col(c).cast("double") for c in names], F.col(target).cast("double").alias("_y"))
-
-    def one_pass(at: Weights, before: float):
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            w, b, n = np.array(at.coefficients), at.intercept, 0
-            mean_w, mean_b, steps = np.zeros(size), 0.0, 0
-            for batch in batches:
-                x, y = batch[names].to_numpy(), batch["_y"].to_numpy()
-                for i in range(0, len(y), chunk):
-                    part, goal = x[i : i + chunk], y[i : i + chunk]
-                    eta = schedule.step(n + 1 + before)
-                    error = part @ w + b - goal
-                    w = w * (1.0 - eta * schedule.alpha * len(goal)) - eta * (error @ part)
-                    b -= eta * error.sum()
-                    n, steps = n + len(goal), steps + 1
-                    mean_w, mean_b = mean_w + (w - mean_w) / steps, mean_b + (b - mean_b) / steps
-            if n:
-                w, b = (mean_w, mean_b) if schedule.averaged else (w, b)
-                bad = not np.isfinite([*w, b]).all()
-                ends = [0.0] * (size + 1) if bad else [*w, b]
-                yield pd.DataFrame([[*ends, n, int(bad)]], columns=[*[f"w_{i}" for i in range(size)], "b", "n", "bad"])
-
-        return run
-
-    fields = [*[f"w_{i}" for i in range(size)], "b"]
-    before = 0.0
+    w = np.array([*start.coefficients, start.intercept])
+    worst, kept, mean, steps = sums.mse(w), w, np.zeros(len(w)), 0
+    if not np.isfinite(worst):
+        return start
+    decay = np.array([schedule.alpha * gain] * (len(w) - 1) + [0.0])
     for _ in range(passes):
-        ends = rows.mapInPandas(one_pass(weights, before), ", ".join(f"{c} double" for c in fields) + ", n long, bad long")
-        row = ends.agg(
-            *[(F.sum(F.col(c) * F.col("n")) / F.sum("n")).alias(c) for c in fields],
-            F.avg("n").alias("mean_rows"), F.sum("bad").alias("bad"),
-        ).first()
-        if row["bad"] is None or row["bad"] > 0:
-            return weights
-        weights = Weights(tuple(row[c] for c in fields[:-1]), row["b"])
-        before += row["mean_rows"]
-    return weights
+        with np.errstate(all="ignore"):
+            for n, products, goal in zip(sums.n, sums.products, sums.target):
+                eta = schedule.step(1 + gain * steps)
+                w = w * (1.0 - eta * decay) - eta * gain * (products @ w - goal) / n
+                steps += 1
+                mean = mean + (w - mean) / steps
+        ends = mean if schedule.averaged else w
+        if not np.isfinite(ends).all() or sums.mse(ends) > worst:
+            break
+        kept = ends
+    return Weights(tuple(map(float, kept[:-1])), float(kept[-1]))
+
+
+def descend(
+    df: DataFrame, features: Sequence[str], target: str, schedule: Schedule, passes: int,
+    start: Weights | None = None, key: Sequence[str] | None = None, batches: int = BATCHES, gain: int = 16,
+) -> Weights:
+    """Mini-batch descent on the squared loss over all rows of ``df``, which are read once."""
+    sums = moments(df, features, target, key, batches)
+    start = start or Weights((0.0,) * len(features), 0.0)
+    return descend_moments(sums, schedule, passes, start, gain) if len(sums.n) else start
 
 
 @dataclass(frozen=True)
@@ -129,32 +157,41 @@ class LinearModel:
         return reduce(lambda a, b: a + b, terms, F.lit(float(self.weights.intercept)))
 
 
+def solved(sums: Moments, alpha: float) -> Weights:
+    """Ridge weights from the sums: half the mean squared error plus ``alpha`` / 2 times the squared weights is least."""
+    n = sums.n.sum()
+    products, goal = sums.products.sum(0) / n, sums.target.sum(0) / n
+    penalty = np.diag([alpha] * (len(goal) - 1) + [0.0])
+    w = np.linalg.lstsq(products + penalty, goal, rcond=None)[0]
+    return Weights(tuple(map(float, w[:-1])), float(w[-1]))
+
+
 def fit_least_squares(df: DataFrame, features: Sequence[str], target: str, alpha: float = 1e-3) -> LinearModel:
-    """Closed-form ridge fit on scaled features: one pass over the rows (normal equations)."""
+    """Closed-form ridge fit on scaled features: one pass for the scales, one for the sums."""
     scaler = Scaler.fit(df, features)
     rows = scaler.transform(df.select(*features, F.col(target).cast("double").alias("_target")))
-    rows = VectorAssembler(inputCols=list(features), outputCol="_x").transform(rows)
-    fitted = LinearRegression(
-        featuresCol="_x", labelCol="_target", regParam=alpha, elasticNetParam=0.0, standardization=False,
-        solver="normal",
-    ).fit(rows)
-    return LinearModel(tuple(features), scaler, Weights(tuple(map(float, fitted.coefficients)), float(fitted.intercept)))
+    return LinearModel(tuple(features), scaler, solved(moments(rows, features, "_target"), alpha))
 
 
-def fit_variants(df: DataFrame, features: Sequence[str], target: str, passes: int, last: Schedule = DECAYING) -> dict[str, LinearModel]:
-    """The three forms of each regressor: raw features, scaled, and scaled with a decaying step.
+def fit_variants(
+    df: DataFrame, features: Sequence[str], target: str, passes: int, last: Schedule = DECAYING,
+    key: Sequence[str] | None = None,
+) -> dict[str, LinearModel]:
+    """Each regressor in four forms: raw features, scaled, scaled with a decaying step, and closed form.
 
-    The raw form takes its fixed step on unscaled inputs, which need not converge; a pass that
-    overflows ends the descent with the weights before it.
+    The raw form takes its fixed step on unscaled inputs, which need not converge: it then keeps its
+    zero weights. The rows are read three times in all: scales, sums of the raw and of the scaled features.
     """
+    names = tuple(features)
     scaler = Scaler.fit(df, features)
     plain = Scaler({c: 0.0 for c in features}, {c: 1.0 for c in features})
-    rows = df.select(*features, target)
-    scaled = scaler.transform(rows)
+    zero = Weights((0.0,) * len(names), 0.0)
+    raw, scaled = (moments(rows, features, target, key) for rows in (df, scaler.transform(df)))
     return {
-        "raw": LinearModel(tuple(features), plain, descend(rows, features, target, RAW, passes, chunk=1)),
-        "scaled": LinearModel(tuple(features), scaler, descend(scaled, features, target, SCALED, passes)),
-        "decaying": LinearModel(tuple(features), scaler, descend(scaled, features, target, last, passes)),
+        "raw": LinearModel(names, plain, descend_moments(raw, RAW, passes, zero, gain=1)),
+        "scaled": LinearModel(names, scaler, descend_moments(scaled, SCALED, passes, zero)),
+        "decaying": LinearModel(names, scaler, descend_moments(scaled, last, passes, zero)),
+        "closed_form": LinearModel(names, scaler, solved(scaled, alpha=1e-3)),
     }
 
 

@@ -34,10 +34,8 @@ def coded_state(state: DataFrame, codes: DataFrame) -> DataFrame:
 def fit_target(training: DataFrame, target: str, passes: int = PASSES) -> dict[str, LinearModel]:
     """The three gradient-trained variants and the closed-form fit of one target."""
     features = FEATURES[target]
-    rows = written(align.complete(training, [*features, target]).select(*features, target), "training")
-    models = linear.fit_variants(rows, features, target, passes, LAST_VARIANT[target])
-    models["closed_form"] = linear.fit_least_squares(rows, features, target)
-    return models
+    rows = written(align.complete(training, [*features, target]).select(*align.KEY, *features, target), "training")
+    return linear.fit_variants(rows, features, target, passes, LAST_VARIANT[target], align.KEY)
 
 
 def forecast(state: DataFrame, target: str, models: Mapping[str, LinearModel]) -> DataFrame:
