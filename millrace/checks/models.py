@@ -6,9 +6,9 @@ from functools import partial
 
 from pyspark.sql import functions as F
 
-from millrace.checks import descents
+from millrace.checks import centres, descents
 from millrace.checks.registry import all_topics, check, feed, feeds, hourly
-from millrace.checks.reports import energy_points, performance_rows
+from millrace.checks.reports import CENTRES_CTE, energy_points, performance_rows
 from millrace.functions import kpis
 from millrace.operators import affinity, align, clustering, linear, metrics, scaling, state
 from millrace.operators.density import DensityClustering
@@ -170,31 +170,57 @@ def model_save_load(spark, folder):
     )
 
 
-def centre_rows(spark, centres, features, cost):
-    rows = [(i, *map(float, c), float(cost)) for i, c in enumerate(centres)]
-    return spark.createDataFrame(rows, "cluster int, " + ", ".join(f"{c} double" for c in features) + ", cost double")
+def centre_rows(spark, fit, features):
+    rows = [(i, *map(float, c), fit.cost, fit.rounds, fit.converged) for i, c in enumerate(fit.centres)]
+    fields = ", ".join(f"{c} double" for c in features)
+    return spark.createDataFrame(rows, f"cluster int, {fields}, cost double, rounds int, converged boolean")
 
 
-@check("perf_clusters")
+PERF_POINTS = "perf_points AS (SELECT [time_per_unit, defect_pct, affinity] AS x FROM perf)"
+
+
+@check("perf_clusters", centres.centre_rows("perf_fit", performance.PERFORMANCE, 3),
+       [CENTRES_CTE, PERF_POINTS, *centres.fitted("perf_fit", "perf_points", 3, 3)],
+       "cost " + " ".join(performance.PERFORMANCE), recursive=True)
 def perf_clusters(spark, folder):
     """Three performance clusters of all production rows; centres in tier order."""
-    rows = written(performance_rows(spark, folder).select(*performance.PERFORMANCE), "performance")
-    centres, cost = clustering.fit_kmeans(rows, performance.PERFORMANCE, 3)
-    return centre_rows(spark, centres, performance.PERFORMANCE, cost)
+    rows = performance_rows(spark, folder).select(*performance.PERFORMANCE)
+    return centre_rows(spark, clustering.fit_kmeans(rows, performance.PERFORMANCE, 3), performance.PERFORMANCE)
+
+
+PROFILES = {"performance": performance.PROFILE_PERFORMANCE, "energy": performance.PROFILE_ENERGY}
+
+
+def _profile_points(name, features):
+    """Scaled points of the filled production rows that have all features."""
+    scales = ", ".join(f"avg({c}) AS m_{c}, CASE WHEN stddev_pop({c}) = 0 THEN 1.0 ELSE stddev_pop({c}) END AS s_{c}" for c in features)
+    complete = " AND ".join(f"{c} IS NOT NULL" for c in features)
+    scaled = ", ".join(f"({c} - m_{c}) / s_{c}" for c in features)
+    return (f"{name}_scaled AS (SELECT [{scaled}] AS x FROM profile, (SELECT {scales} FROM profile WHERE {complete}) WHERE {complete})")
+
+
+PROFILE_CTE = """
+profile AS MATERIALIZED (
+  SELECT time_per_unit, defect_rate, last_value(power_kw IGNORE NULLS) OVER w AS power_kw,
+         last_value(temperature_c IGNORE NULLS) OVER w AS temperature_c, last_value(vibration_mm_s IGNORE NULLS) OVER w AS vibration_mm_s
+  FROM kpi WINDOW w AS (PARTITION BY machine_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
 
 
-@check("profile_clusters")
+@check("profile_clusters",
+       " UNION ALL ".join(f"SELECT *, '{n}' AS profile FROM ({centres.centre_rows(f'{n}_fit', ['x', 'y', 'z'], len(f))})" for n, f in PROFILES.items()),
+       [PROFILE_CTE, *[part for n, f in PROFILES.items() for part in (_profile_points(n, f), *centres.fitted(f"{n}_fit", f"{n}_scaled", 5, len(f)))]],
+       "x y z cost", recursive=True)
 def profile_clusters(spark, folder):
     """Five clusters on scaled [time, defects] and five on scaled [power, temperature, vibration]."""
     iot, scada, mes = hourly(spark, folder)
     rows = written(align.forward_fill(align.left_of_mes(mes, scada, iot)), "profile")
     rows = rows.withColumns({"time_per_unit": kpis.time_per_unit(), "defect_rate": kpis.defect_rate()})
     out = None
-    for name, features in (("performance", performance.PROFILE_PERFORMANCE), ("energy", performance.PROFILE_ENERGY)):
+    for name, features in PROFILES.items():
         used = rows.na.drop(subset=features)
-        centres, cost = clustering.fit_kmeans(scaling.Scaler.fit(used, features).transform(used), features, 5)
-        padded = [c + [0.0] * (3 - len(c)) for c in centres]
-        part = centre_rows(spark, padded, ["x", "y", "z"], cost).withColumn("profile", F.lit(name))
+        fit = clustering.fit_kmeans(scaling.Scaler.fit(used, features).transform(used), features, 5)
+        padded = fit._replace(centres=[c + [0.0] * (3 - len(c)) for c in fit.centres])
+        part = centre_rows(spark, padded, ["x", "y", "z"]).withColumn("profile", F.lit(name))
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -204,12 +230,12 @@ def retrain_snapshot(spark, folder):
     """Both cluster models fitted on the current state of all machines."""
     mes = feed(spark, folder, "mes")
     current = written(performance.performance_state(mes, affinity.running(mes)).na.drop(subset=performance.PERFORMANCE), "current")
-    centres, _ = clustering.fit_kmeans(current, performance.PERFORMANCE, 3)
+    fitted = clustering.fit_kmeans(current, performance.PERFORMANCE, 3)
     rows, scaler = energy_points(spark, folder)
     now = written(performance.energy_state(all_topics(spark, folder)).na.drop(), "now")
     numbered = now.withColumn("id", F.substring_index("machine_id", "_", -1).cast("long"))
     labels = DensityClustering(scaler.transform(numbered), performance.ENERGY, id_="id").labels()
-    placed = clustering.assign(current, performance.PERFORMANCE, centres, "performance_cluster")
+    placed = clustering.assign(current, performance.PERFORMANCE, fitted.centres, "performance_cluster")
     return numbered.join(labels, "id").select("machine_id", F.col("label").alias("energy_label")).join(
         placed.select("machine_id", "performance_cluster"), "machine_id", "full"
     )
@@ -219,8 +245,8 @@ def retrain_snapshot(spark, folder):
 def retrain_report(spark, folder):
     """Both models fitted on the whole history, with their quality and health."""
     rows = written(performance_rows(spark, folder).select(*performance.PERFORMANCE), "performance")
-    centres, _ = clustering.fit_kmeans(rows, performance.PERFORMANCE, 3)
-    placed = written(clustering.assign(rows, performance.PERFORMANCE, centres), "placed")
+    fitted = clustering.fit_kmeans(rows, performance.PERFORMANCE, 3)
+    placed = written(clustering.assign(rows, performance.PERFORMANCE, fitted.centres), "placed")
     points, scaler = energy_points(spark, folder)
     scaled = written(scaler.transform(points), "scaled")
     labels = DensityClustering(scaled, performance.ENERGY).labels()

@@ -6,6 +6,7 @@ from functools import partial
 
 from pyspark.sql import functions as F
 
+from millrace.checks import centres as centre_sql
 from millrace.checks.registry import all_topics, check, feed, feeds, hourly
 from millrace.checks.rows import ANCHOR, long_metrics, whole_fact
 from millrace.operators import affinity, align, clustering, density, metrics, quantiles, scaling, state
@@ -414,11 +415,32 @@ def energy_forecast(spark, folder):
     return performance.energy_forecast(history, latest, centres, points, ANCHOR)
 
 
-@check("energy_forecast_fitted")
+FITTED_CTE = [
+    FORECAST_CTE,
+    """points AS MATERIALIZED (
+  SELECT machine_id, power_kw, [(hour - mh) / sh, (temperature_c - mt) / st, (vibration_mm_s - mv) / sv] AS x FROM hist JOIN sc USING (machine_id))""",
+    *centre_sql.keyed("machine_fit", "points", HOUR_CENTRES),
+    """machine_centres AS (SELECT machine_id, CAST(i - 1 AS INTEGER) AS cluster, centres[i] AS c FROM machine_fit, range(1, 6) t(i))""",
+    """machine_stats AS (
+  SELECT machine_id, cluster, median(power_kw) AS p50, quantile_cont(power_kw, 0.1) AS p10, quantile_cont(power_kw, 0.9) AS p90
+  FROM (SELECT machine_id, power_kw, cluster FROM (SELECT *, row_number() OVER () AS id FROM points) JOIN machine_centres USING (machine_id)
+        QUALIFY row_number() OVER (PARTITION BY id ORDER BY (x[1] - c[1]) ** 2 + (x[2] - c[2]) ** 2 + (x[3] - c[3]) ** 2, cluster) = 1)
+  GROUP BY ALL)""",
+]
+
+
+@check("energy_forecast_fitted", f"""
+SELECT machine_id, hours_ahead, forecast_ts, cluster, samples, coalesce(p50, 0) AS predicted_kw, coalesce(p10, 0) AS lower_kw, coalesce(p90, 0) AS upper_kw
+FROM (
+  SELECT machine_id, CAST(h AS INTEGER) AS hours_ahead, TIMESTAMP '{ANCHOR}' + to_hours(CAST(h AS INTEGER)) AS forecast_ts, samples, cluster
+  FROM latest JOIN sc USING (machine_id) JOIN machine_centres USING (machine_id), range(1, 25) t(h)
+  QUALIFY row_number() OVER (PARTITION BY machine_id, h ORDER BY ((hour(TIMESTAMP '{ANCHOR}' + to_hours(CAST(h AS INTEGER))) - mh) / sh - c[1]) ** 2
+    + ((temperature_c - mt) / st - c[2]) ** 2 + ((vibration_mm_s - mv) / sv - c[3]) ** 2, cluster) = 1)
+LEFT JOIN machine_stats USING (machine_id, cluster)""", FITTED_CTE, doubles="predicted_kw lower_kw upper_kw", recursive=True)
 def energy_forecast_fitted(spark, folder):
     history = performance.hourly_history(align.inner(*hourly(spark, folder)[1::-1]))
     points = written(performance.scaled_history(history), "history")
-    centres = clustering.keyed_kmeans(points, "machine_id", "x", HOUR_CENTRES)
+    centres = clustering.keyed_kmeans(points, "machine_id", "x", HOUR_CENTRES).select("machine_id", "centres")
     latest = state.latest_state(all_topics(spark, folder), ("temperature_c", "vibration_mm_s"))
     return performance.energy_forecast(history, latest, centres, points, ANCHOR)
 

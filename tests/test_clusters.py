@@ -107,12 +107,24 @@ def test_single_cluster_has_no_quality(spark):
 
 def test_kmeans_is_at_a_fixed_point(spark):
     _, _, placed, names = labelled(spark)
-    centres, cost = clustering.fit_kmeans(placed, names, 3)
-    stepped = clustering.update_centres(clustering.assign(placed, names, centres), names).orderBy("cluster").collect()
-    again = [[r[n] for n in names] for r in stepped]
+    fit = clustering.fit_kmeans(placed, names, 3, tolerance=0.0)
+    stepped = clustering.update_centres(clustering.assign(placed, names, fit.centres), names).orderBy("cluster").collect()
+    assert np.allclose([[r[n] for n in names] for r in stepped], fit.centres)
     x = np.array([[r[n] for n in names] for r in placed.collect()])
-    after = ((x[:, None] - np.array(again)[None]) ** 2).sum(-1).min(1).sum()
-    assert after <= cost + 1e-6 and after == pytest.approx(cost, rel=1e-2)
+    assert fit.cost == pytest.approx(((x[:, None] - np.array(fit.centres)[None]) ** 2).sum(-1).min(1).sum())
+
+
+def test_kmeans_depends_on_the_rows_alone(spark):
+    rows, names = frame(spark, np.random.default_rng(3).normal(size=(300, 2)))
+    fits = [clustering.fit_kmeans(part, names, 4) for part in (rows.coalesce(1), rows.repartition(7))]
+    assert np.allclose(fits[0].centres, fits[1].centres) and all(f.converged for f in fits)
+    assert not clustering.fit_kmeans(rows, names, 4, rounds=1).converged
+
+
+def test_kmeans_of_few_or_no_points(spark):
+    rows, names = frame(spark, np.array([[1.0, 2.0], [1.0, 2.0], [3.0, 4.0]]))
+    assert clustering.fit_kmeans(rows, names, 5).centres == [[1.0, 2.0], [3.0, 4.0]]
+    assert clustering.fit_kmeans(rows.where("false"), names, 5).centres == []
 
 
 def test_keyed_kmeans_equals_one_fit_per_key(spark):
