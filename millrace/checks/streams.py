@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from millrace import schemas
 from millrace.checks.registry import check, feed, feeds
-from millrace.operators import fact
+from millrace.operators import fact, sessions
 from millrace.operators.linear import Weights
 from millrace.operators.state import STATE_COLUMNS, latest_state
 from millrace.operators.upsert import read_table
@@ -154,6 +154,28 @@ def stream_units_weekly(spark, folder):
     return load.roll_up(streamed_days(spark, folder), "week")
 
 
+SESSIONS_SQL = """
+SELECT machine_id, min(ts) AS started, max(ts) AS ended, count(*) AS events
+FROM (SELECT machine_id, ts, sum(CASE WHEN waited > 1800000000 THEN 1 ELSE 0 END) OVER (PARTITION BY machine_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS number
+      FROM (SELECT machine_id, ts, event_id, epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY machine_id ORDER BY ts, event_id)) AS waited FROM scada))
+GROUP BY machine_id, number"""
+
+
+@check("machine_sessions", SESSIONS_SQL)
+def machine_sessions(spark, folder):
+    """Runs of power readings without a pause of over half an hour."""
+    return sessions.sessions(feed(spark, folder, "scada"))
+
+
+@check("stream_sessions", SESSIONS_SQL)
+def stream_sessions(spark, folder):
+    with few_state_partitions(spark):
+        found = sessions.stream_sessions(feed_stream(spark, folder, "scada", closed=True))
+        path = fresh_path(spark, "sessions")
+        runs.replay(runs.to_table(found, path), spark, "sessions")
+    return plain_time(spark.read.schema(sessions.SESSION).parquet(path))
+
+
 @check("stream_fact_load", "SELECT *, CAST(ts AS DATE) AS day FROM metrics", doubles="temperature_c vibration_mm_s pressure_bar production_time_min power_kw")
 def stream_fact_load(spark, folder):
     """The whole load; the marker lets the newest rows settle."""
