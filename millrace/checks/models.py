@@ -6,7 +6,7 @@ from functools import partial
 
 from pyspark.sql import functions as F
 
-from millrace.checks import centres, descents
+from millrace.checks import centres, descents, logistic
 from millrace.checks.registry import all_topics, check, feed, feeds, hourly
 from millrace.checks.reports import CENTRES_CTE, energy_points, performance_rows
 from millrace.functions import kpis
@@ -99,6 +99,11 @@ def state_training(spark, folder):
     return written(align.complete(rows, [*align.STATE_FEATURES, "machine_status", "alarm_code"]), "training")
 
 
+LABELS = {"status": "machine_status", "alarm": "alarm_code"}
+# More than any class of the given tables needs until no weight moves.
+NEWTON_STEPS = 16
+
+
 def _classifier(label, spark, folder):
     rows = state_training(spark, folder)
     model = linear.fit_classifier(rows, align.STATE_FEATURES, label)
@@ -107,8 +112,9 @@ def _classifier(label, spark, folder):
     return metrics.classification(scored, label, "predicted").withColumn("auc", auc.scalar())
 
 
-check("status_model")(partial(_classifier, "machine_status"))
-check("alarm_model")(partial(_classifier, "alarm_code"))
+for _key, _label in LABELS.items():
+    check(f"{_key}_model", logistic.QUALITY, [*logistic.fitted(_label, NEWTON_STEPS), logistic.SCORED], "accuracy precision recall f1 auc",
+          recursive=True)(partial(_classifier, _label))
 
 TARGET_KEYS = {"power": "power_kw", "units": "units_produced", "defects": "defective_units", "minutes": "production_time_min"}
 
@@ -147,8 +153,8 @@ def _forecast_class(label, spark, folder):
     return forecasts.forecast_class(_current(spark, folder), label, model)
 
 
-check("forecast_status")(partial(_forecast_class, "machine_status"))
-check("forecast_alarm")(partial(_forecast_class, "alarm_code"))
+for _key, _label in LABELS.items():
+    check(f"forecast_{_key}", logistic.forecast_sql(_label), logistic.fitted(_label, NEWTON_STEPS), recursive=True)(partial(_forecast_class, _label))
 
 
 @check("model_save_load", "SELECT ts, machine_id, true AS same_status, true AS same_power FROM featured WHERE "

@@ -7,8 +7,6 @@ from dataclasses import dataclass, replace
 from functools import reduce
 
 import numpy as np
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -222,13 +220,81 @@ class Classifier:
         return df.select(*df.columns, best_class(scores).alias("predicted"), *columns)
 
 
-def fit_classifier(df: DataFrame, features: Sequence[str], label: str, iterations: int = 11) -> Classifier:
-    """One binary logistic fit per class of a dictionary column."""
-    classes = [r[0] for r in df.select(label).where(F.col(label).isNotNull()).distinct().orderBy(label).collect()]
-    rows = VectorAssembler(inputCols=list(features), outputCol="_x").transform(df.select(label, *features).na.drop())
+@dataclass(frozen=True)
+class LogisticFit:
+    """A fitted classifier, the passes over the rows that it took, and whether every class converged."""
+
+    model: Classifier
+    rounds: int
+    converged: bool
+
+
+def _curvature(rows: DataFrame, label: str, size: int, at: dict[str, np.ndarray]) -> dict[str, tuple[float, np.ndarray, np.ndarray]]:
+    """Mean log loss, gradient and curvature of each class at its weights, over ``x_0`` ...: one aggregation for all."""
+    x = [f"x_{i}" for i in range(size)]
+    entries = [F.struct(F.lit(c).alias("class"), *[F.lit(float(v)).alias(f"w_{i}") for i, v in enumerate(w)]) for c, w in at.items()]
+    each = rows.select(label, *x, F.explode(F.array(*entries)).alias("m"))
+    margin = reduce(lambda a, b: a + b, [F.col(f"m.w_{i}") * F.col(x[i]) for i in range(size)])
+    each = each.select("m.class", *x, (F.col(label) == F.col("m.class")).cast("double").alias("y"), margin.alias("z"))
+    p = 1 / (1 + F.exp(-F.col("z")))
+    loss = F.greatest("z", F.lit(0.0)) - F.col("y") * F.col("z") + F.log1p(F.exp(-F.abs("z")))
+    each = each.select("class", *x, (p - F.col("y")).alias("e"), (p * (1 - p)).alias("h"), loss.alias("loss"))
+    pairs = [(i, j) for i in range(size) for j in range(i, size)]
+    found = each.groupBy("class").agg(
+        F.avg("loss").alias("loss"), *[F.avg(F.col("e") * F.col(x[i])).alias(f"g_{i}") for i in range(size)],
+        *[F.avg(F.col("h") * F.col(x[i]) * F.col(x[j])).alias(f"h_{i}_{j}") for i, j in pairs],
+    ).collect()
+    out = {}
+    for r in found:
+        curved = np.zeros((size, size))
+        for i, j in pairs:
+            curved[i, j] = curved[j, i] = r[f"h_{i}_{j}"]
+        out[r["class"]] = (r["loss"], np.array([r[f"g_{i}"] for i in range(size)]), curved)
+    return out
+
+
+def fit_logistic(
+    df: DataFrame, features: Sequence[str], label: str, alpha: float = 1e-3, rounds: int = 50, near: float = 1e-9
+) -> LogisticFit:
+    """One-vs-rest log loss with an L2 penalty on the scaled weights, by Newton steps from zero.
+
+    A round is one aggregation over all rows for all classes that still move; classes times
+    (features + 2) squared over two numbers reach the driver. A step after which the loss is greater is
+    halved. A class ends when no weight moves by more than ``near``; one without an optimum (all
+    rows of one class) ends after ``rounds`` and is reported. The result depends on the rows alone, not on
+    their order. Rows with a missing value are left out; a table without rows gives no classes.
+    """
+    used = df.select(label, *features).na.drop()
+    names = [r[0] for r in used.select(label).distinct().orderBy(label).collect()]
+    if not names:
+        return LogisticFit(Classifier(tuple(features), (), ()), 0, True)
+    scaler = Scaler.fit(used, features)
+    size = len(features) + 1
+    rows = used.select(label, *[scaler.column(c).alias(f"x_{i}") for i, c in enumerate(features)], F.lit(1.0).alias(f"x_{size - 1}"))
+    penalty = np.array([alpha] * (size - 1) + [0.0])
+    at, best, done = {c: np.zeros(size) for c in names}, {}, 0
+    moving = set(names)
+    while moving and done < rounds:
+        done += 1
+        for c, (loss, gradient, curved) in _curvature(rows, label, size, {c: at[c] for c in names if c in moving}).items():
+            w = at[c]
+            loss += penalty @ (w * w) / 2
+            if c in best and loss > best[c][0] + 1e-12:
+                at[c] = (w + best[c][1]) / 2
+                continue
+            best[c] = (loss, w)
+            step = np.linalg.lstsq(curved + np.diag(penalty), gradient + penalty * w, rcond=None)[0]
+            at[c] = w - step
+            if np.abs(step).max() <= near:
+                moving.discard(c)
     weights = []
-    for name in classes:
-        target = rows.select("_x", (F.col(label) == name).cast("double").alias("_y"))
-        fitted = LogisticRegression(featuresCol="_x", labelCol="_y", maxIter=iterations, regParam=1e-4).fit(target)
-        weights.append(Weights(tuple(map(float, fitted.coefficients)), float(fitted.intercept)))
-    return Classifier(tuple(features), tuple(classes), tuple(weights))
+    for c in names:
+        w = best[c][1] if c in moving else at[c]
+        raw = [float(v) / scaler.std[f] for f, v in zip(features, w)]
+        weights.append(Weights(tuple(raw), float(w[-1]) - sum(v * scaler.mean[f] for f, v in zip(features, raw))))
+    return LogisticFit(Classifier(tuple(features), tuple(names), tuple(weights)), done, not moving)
+
+
+def fit_classifier(df: DataFrame, features: Sequence[str], label: str, alpha: float = 1e-3) -> Classifier:
+    """The classifier of ``fit_logistic``."""
+    return fit_logistic(df, features, label, alpha).model

@@ -58,7 +58,7 @@ def test_gradient_step_by_hand(spark):
 
 
 def test_classifier_beats_the_majority_and_survives_storage(spark, data, tmp_path):
-    model = linear.fit_classifier(data, FEATURES, "label", iterations=30)
+    model = linear.fit_classifier(data, FEATURES, "label")
     assert model.classes == ("Error", "Idle", "Running")
     scored = model.transform(data)
     assert scored.where("predicted = label").count() / 800 > 0.8
@@ -68,6 +68,31 @@ def test_classifier_beats_the_majority_and_survives_storage(spark, data, tmp_pat
     assert forecasts.load(spark, str(tmp_path / "model")) == model
 
 
+def test_newton_fit_is_the_optimum_on_any_partitions(spark, data):
+    fit = linear.fit_logistic(data, FEATURES, "label", alpha=1e-2)
+    assert fit.converged and fit.rounds < 20
+    x = np.array(data.select(*FEATURES).collect())
+    z = (x - x.mean(0)) / x.std(0)
+    labels = np.array([r[0] for r in data.select("label").collect()])
+    for name, w in zip(fit.model.classes, fit.model.weights):
+        error = 1 / (1 + np.exp(-(x @ w.coefficients + w.intercept))) - (labels == name)
+        scaled = np.array(w.coefficients) * x.std(0)
+        assert np.abs(z.T @ error / len(z) + 1e-2 * scaled).max() < 1e-9 and abs(error.mean()) < 1e-9
+    other = linear.fit_logistic(data.repartition(7).sortWithinPartitions("y"), FEATURES, "label", alpha=1e-2).model
+    for a, b in zip(fit.model.weights, other.weights):
+        assert [*a.coefficients, a.intercept] == pytest.approx([*b.coefficients, b.intercept], abs=1e-9)
+
+
+def test_newton_fit_without_rows_of_one_class_and_separable(spark):
+    schema = "x double, label string"
+    empty = linear.fit_logistic(spark.createDataFrame([], schema), ["x"], "label")
+    assert empty.model.classes == () and empty.converged
+    one = linear.fit_logistic(spark.createDataFrame([(1.0, "a"), (2.0, "a"), (None, "b"), (3.0, None)], schema), ["x"], "label", rounds=8)
+    assert one.model.classes == ("a",) and one.rounds == 8 and not one.converged
+    apart = linear.fit_logistic(spark.createDataFrame([(float(i), "ab"[i > 4]) for i in range(10)], schema), ["x"], "label")
+    assert apart.converged and np.isfinite(apart.model.weights[0].coefficients[0])
+
+
 def test_forecasts_are_null_while_fields_are_missing(spark):
     fields = [*forecasts.FEATURES["power_kw"], "power_kw"]
     schema = "machine_id string, " + ", ".join(f"{c} double" for c in fields)
