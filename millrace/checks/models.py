@@ -14,6 +14,7 @@ from millrace.operators import affinity, align, clustering, linear, metrics, sca
 from millrace.operators.density import DensityClustering
 from millrace.operators.linear import Weights
 from millrace.plans import forecasts, performance
+from millrace.plans.model_store import ModelStore
 from millrace.session import fresh_path, written
 
 
@@ -176,6 +177,32 @@ def model_save_load(spark, folder):
     )
 
 
+_POWER_SQL = descents.forecast_sql("power_kw")
+_PUBLISHED = ["raw", "scaled", "decaying", "closed_form"]
+
+
+@check("model_versions", " UNION ALL ".join(
+    f"SELECT {v} AS version, {origin} AS restored_from, {kept} AS kept, machine_id, predicted_{name} AS predicted FROM ({_POWER_SQL})"
+    for v, (name, origin, kept) in enumerate([*[(n, "NULL::INTEGER", str(n == "closed_form").lower()) for n in _PUBLISHED], ("scaled", "2", "true")], 1)),
+       descents.fitted("power_kw"), recursive=True)
+def model_versions(spark, folder):
+    """Power forecasts of each published version, then of the current one after a roll-back to the second."""
+    store, now = ModelStore(spark, fresh_path(spark, "models")), written(_current(spark, folder), "current")
+    fitted = forecasts.fit_target(training_rows(spark, folder), "power_kw")
+    for name in _PUBLISHED:
+        store.publish("power", fitted[name])
+    store.roll_back("power", 2)
+    history = {r["version"]: r["restored_from"] for r in store.history("power").collect()}
+    models = {v: store.load("power", v) for v in store.versions("power")}
+    gone, out = store.expire("power", keep=2), None
+    for version, model in models.items():
+        rows = forecasts.forecast(now, "power_kw", {"it": model}).select(
+            F.lit(version).alias("version"), F.lit(history[version]).cast("int").alias("restored_from"),
+            F.lit(version not in gone).alias("kept"), "machine_id", F.col("predicted_it").alias("predicted"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def centre_rows(spark, fit, features):
     rows = [(i, *map(float, c), fit.cost, fit.rounds, fit.converged) for i, c in enumerate(fit.centres)]
     fields = ", ".join(f"{c} double" for c in features)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace import schemas
@@ -95,6 +98,21 @@ def src_table_partitioned(spark, folder):
     return out.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
 
 
+@check("table_to_fact", "SELECT * FROM metrics", doubles="temperature_c vibration_mm_s pressure_bar production_time_min power_kw")
+def table_to_fact(spark, folder):
+    """Staging tables with times as text, read by ranges of equal counts, to the fact table."""
+    staged = {}
+    for name, rows in zip(("iot", "scada", "mes"), feeds(spark, folder)):
+        kind = rows.schema["ts"].dataType
+        stored = written(rows.withColumn("ts", F.date_format("ts", tables.TEXT_TIME)), name)
+        bounds = tables.balanced_bounds(stored.select("ts"), 8)
+        parts = [stored.where(p) for p in tables.range_predicates("ts", bounds)]
+        whole = tables.parsed_time(reduce(DataFrame.unionByName, parts), "ts").where("NOT is_rejected").drop("is_rejected")
+        staged[name] = written(whole.withColumn("ts", F.col("ts").cast(kind)), f"{name}-read")
+    seeds = [dimensions.seed(spark, name) for name in ("machine_status", "alarm_codes")]
+    return fact.enrich(fact.fuse(staged["iot"], staged["mes"], staged["scada"]), *seeds)
+
+
 @check("sink_fact_roundtrip", "SELECT *, CAST(ts AS DATE) AS day FROM metrics",
        doubles="temperature_c vibration_mm_s pressure_bar production_time_min power_kw")
 def sink_fact_roundtrip(spark, folder):

@@ -15,7 +15,7 @@ from millrace.operators.state import STATE_COLUMNS, latest_state
 from millrace.operators.upsert import read_table
 from millrace.session import fresh_path
 from millrace.sources import events, messages
-from millrace.streaming import load, runs
+from millrace.streaming import history, load, runs
 from millrace.streaming import state as kept
 from millrace.streaming.nearest import stream_nearest
 
@@ -154,6 +154,24 @@ def stream_units_weekly(spark, folder):
     return load.roll_up(streamed_days(spark, folder), "week")
 
 
+@check("stream_history", """
+SELECT machine_id, ts, event_id, topic, temperature_c, vibration_mm_s, pressure_bar, power_kw, machine_status, alarm_code, operator_id, units_produced,
+       defective_units, production_time_min, CAST(age AS INTEGER) AS age
+FROM (SELECT *, row_number() OVER (PARTITION BY machine_id ORDER BY ts DESC, event_id DESC) AS age FROM events_long) WHERE age <= 48""",
+       doubles="temperature_c vibration_mm_s pressure_bar power_kw production_time_min")
+def stream_history(spark, folder):
+    """The last 48 records of each machine, held in keyed state while the events arrive in three runs."""
+    root = fresh_path(spark, "history")
+    topics = events.by_topic(dict(zip(("iot", "scada", "mes"), feeds(spark, folder))))
+    kinds = T.StructType([T.StructField(f.name, T.TimestampType()) if f.name == "ts" else f for f in topics.schema.fields])
+    with few_state_partitions(spark):
+        for part in range(3):
+            chosen = topics.where(F.pmod(F.hash("ts"), F.lit(3)) == part)
+            chosen.withColumn("ts", F.col("ts").cast("timestamp")).write.mode("append").parquet(f"{root}/inbox")
+            runs.resume(history.keep_history(spark.readStream.schema(kinds).parquet(f"{root}/inbox")), root)
+        return plain_time(history.read_history(spark, root))
+
+
 SESSIONS_SQL = """
 SELECT machine_id, min(ts) AS started, max(ts) AS ended, count(*) AS events
 FROM (SELECT machine_id, ts, sum(CASE WHEN waited > 1800000000 THEN 1 ELSE 0 END) OVER (PARTITION BY machine_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS number

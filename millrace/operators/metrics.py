@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.clean import clip
 from millrace.functions.kpis import ratio
-from millrace.operators.scan import running_sum, time_slice, value_slice
+from millrace.operators.scan import cut_slices, running_sum, time_slice, value_slice
 from millrace.session import written
 
 
@@ -59,16 +59,18 @@ def classification(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     return scored.agg(F.sum("support").alias("n"), accuracy, weighted("precision"), weighted("recall"), weighted("f1"))
 
 
-def auc_one_vs_rest(df: DataFrame, actual: str, scores: dict[str, str], width: float = 0.01) -> DataFrame:
+def auc_one_vs_rest(df: DataFrame, actual: str, scores: dict[str, str], slices: int = 64) -> DataFrame:
     """Area under the ROC curve of each class against the rest, from average ranks of the scores.
 
-    ``scores`` maps a class to its score column. Equal scores collapse to one counted row.
+    ``scores`` maps a class to its score column. Equal scores collapse to one counted row; ranks are
+    counted over slices that are even however the scores crowd.
     """
     entries = [F.struct(F.lit(k).alias("class"), F.col(c).alias("score")) for k, c in scores.items()]
     long = df.select(actual, F.explode(F.array(*entries)).alias("e")).select(actual, "e.class", "e.score")
     positive = (F.col(actual) == F.col("class")).cast("long")
     counted = long.groupBy("class", "score").agg(F.count(F.lit(1)).alias("n"), F.sum(positive).alias("pos"))
-    ranked = running_sum(counted, ["class"], ["score"], value_slice("score", width), "upto", F.col("n"))
+    sliced = cut_slices(counted, ["class"], "score", "slice", slices)
+    ranked = running_sum(sliced, ["class"], ["score"], F.col("slice"), "upto", F.col("n"))
     mean_rank = F.col("upto") - (F.col("n") - 1) / F.lit(2.0)
     sums = ranked.groupBy("class").agg(
         F.sum("pos").cast("double").alias("positives"), F.sum(F.col("n") - F.col("pos")).cast("double").alias("negatives"),

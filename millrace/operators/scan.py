@@ -17,6 +17,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.session import written
+
 SLICE = "_slice"
 
 
@@ -34,6 +36,20 @@ def value_slice(value: Column | str, width: float) -> Column:
     return F.floor(column / F.lit(float(width))).cast("long")
 
 
+def cut_slices(df: DataFrame, by: Sequence[str], value: str, name: str, slices: int = 64, accuracy: int = 10_000) -> DataFrame:
+    """``df`` with the number of its slice of ``value`` within ``by`` as ``name``: about equally many rows in each slice.
+
+    The cuts come from one pass with a mergeable sketch, so slices stay even where the values crowd; equal values
+    share a slice. Rows without value or key are in slice 0. Scans over the slices stay exact, whatever the cuts.
+    ``df`` is read twice; the cuts, one row per key, are written first so that Spark joins them by their real size.
+    """
+    shares = [i / slices for i in range(1, slices)]
+    cuts = written(df.groupBy(*by).agg(F.percentile_approx(value, shares, accuracy).alias("_cuts")), "cuts")
+    rows = df.join(cuts, list(by), "left") if by else df.withColumn("_cuts", cuts.scalar())
+    below = F.when(F.col(value).isNotNull() & F.col("_cuts").isNotNull(), F.size(F.filter("_cuts", lambda c: c < F.col(value))))
+    return rows.select(*df.columns, F.coalesce(below, F.lit(0)).cast("long").alias(name))
+
+
 @dataclass(frozen=True)
 class Fill:
     """Take the nearest non-null ``source`` at or before the row (``backward``: at or after)."""

@@ -31,6 +31,14 @@ def child_folders(spark: SparkSession, path: str, prefix: str) -> list[str]:
     return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{prefix}="))
 
 
+def claim(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; false if there is one already. Of several callers one succeeds."""
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = file.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(file.getParent())
+    return not system.exists(file) and system.createNewFile(file)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import clean
@@ -63,18 +63,16 @@ def _lines(name: str | None, features, weights: Weights, scaler: Scaler) -> list
     ]
 
 
-def save(model: LinearModel | Classifier, spark: SparkSession, path: str) -> None:
-    """A model as a small table: one row per class and feature, the intercept in each."""
+def lines(model: LinearModel | Classifier) -> list[tuple]:
+    """A model as rows of ``ROWS``: one per class and feature, the intercept in each."""
     if isinstance(model, LinearModel):
-        rows = _lines(None, model.features, model.weights, model.scaler)
-    else:
-        plain = Scaler({c: 0.0 for c in model.features}, {c: 1.0 for c in model.features})
-        rows = [line for name, w in zip(model.classes, model.weights) for line in _lines(name, model.features, w, plain)]
-    spark.createDataFrame(rows, ROWS).coalesce(1).write.mode("overwrite").parquet(path)
+        return _lines(None, model.features, model.weights, model.scaler)
+    plain = Scaler({c: 0.0 for c in model.features}, {c: 1.0 for c in model.features})
+    return [line for name, w in zip(model.classes, model.weights) for line in _lines(name, model.features, w, plain)]
 
 
-def load(spark: SparkSession, path: str) -> LinearModel | Classifier:
-    rows = spark.read.schema(ROWS).parquet(path).orderBy("class", "position").collect()
+def from_lines(rows: Sequence[Row]) -> LinearModel | Classifier:
+    """The model of rows in order of class and position."""
     classes = list(dict.fromkeys(r["class"] for r in rows))
     groups = [[r for r in rows if r["class"] == c] for c in classes]
     weights = [Weights(tuple(r["weight"] for r in g), g[0]["intercept"]) for g in groups]
@@ -82,3 +80,12 @@ def load(spark: SparkSession, path: str) -> LinearModel | Classifier:
     if classes != [None]:
         return Classifier(features, tuple(classes), tuple(weights))
     return LinearModel(features, Scaler({r["feature"]: r["mean"] for r in rows}, {r["feature"]: r["std"] for r in rows}), weights[0])
+
+
+def save(model: LinearModel | Classifier, spark: SparkSession, path: str) -> None:
+    """A model as a small table."""
+    spark.createDataFrame(lines(model), ROWS).coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def load(spark: SparkSession, path: str) -> LinearModel | Classifier:
+    return from_lines(spark.read.schema(ROWS).parquet(path).orderBy("class", "position").collect())

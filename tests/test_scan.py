@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import affinity, align, metrics, quantiles
-from millrace.operators.scan import Fill, fill, running_sum, time_slice
+from millrace.operators.scan import Fill, cut_slices, fill, running_sum, time_slice
 
 START = dt.datetime(2024, 1, 1)
 
@@ -93,3 +93,43 @@ def test_time_series_folds(spark):
     frame = spark.createDataFrame([(START + dt.timedelta(hours=i), "m") for i in range(20)], "ts timestamp_ntz, machine_id string")
     folds = [r["fold"] for r in metrics.time_series_folds(frame).orderBy("ts").collect()]
     assert folds == [0] * 5 + [1] * 3 + [2] * 3 + [3] * 3 + [4] * 3 + [5] * 3
+
+
+def crowded(spark):
+    draw = np.random.default_rng(8)
+    near = 0.97 + draw.random(4000) * 1e-6
+    values = [float(v) for v in [*near, *draw.random(400)]]
+    rows = [("ab"[int(v * 1e9) % 5 == 0], v, "yes" if draw.random() < v - 0.4 else "no") for v in values]
+    return spark.createDataFrame([*rows, *rows[:200], ("a", None, "no"), (None, 0.5, "yes")], "k string, v double, y string")
+
+
+def test_sketch_cuts_give_even_slices_where_values_crowd(spark):
+    frame = crowded(spark).where("v is not null and k is not null").select("k", "v").distinct()
+    sliced = cut_slices(frame, ["k"], "v", "s", slices=16)
+    sizes = sliced.groupBy("k", "s").count().toPandas()
+    for _, part in sizes.groupby("k"):
+        assert len(part) == 16 and part["count"].max() <= 2 * part["count"].mean()
+    ends = sliced.groupBy("k", "s").agg(F.min("v").alias("low"), F.max("v").alias("high")).toPandas().sort_values(["k", "s"])
+    for _, part in ends.groupby("k"):
+        assert (part["high"].to_numpy()[:-1] < part["low"].to_numpy()[1:]).all()
+
+
+@pytest.mark.parametrize("by", [[], ["k"]])
+def test_quantiles_of_crowded_values_by_sketch_cuts(spark, by):
+    rows = crowded(spark).where("k is not null")
+    shares = {"q1": 0.25, "q2": 0.5, "q9": 0.99}
+    found = quantiles.exact_quantiles(rows, by, "v", shares, width=None).toPandas()
+    whole = rows.toPandas().dropna(subset=["v"])
+    groups = whole.groupby(by, dropna=False)["v"] if by else [(None, whole["v"])]
+    want = sorted((len(v), *(round(float(np.quantile(v, q)), 9) for q in shares.values())) for _, v in groups)
+    assert sorted((r.n, *(round(getattr(r, c), 9) for c in shares)) for r in found.itertuples()) == want
+
+
+def test_auc_of_crowded_scores_equals_all_pairs(spark):
+    rows = crowded(spark).where("v is not null").withColumn("w", 1 - F.col("v"))
+    found = {r["class"]: r["auc"] for r in metrics.auc_one_vs_rest(rows, "y", {"yes": "v", "no": "w"}).collect()}
+    yes, no = (np.array([r["v"] for r in rows.where(f"y = '{c}'").collect()]) for c in ("yes", "no"))
+    pairs = ((yes[:, None] > no).sum() + (yes[:, None] == no).sum() / 2) / (len(yes) * len(no))
+    assert found["yes"] == pytest.approx(pairs, abs=1e-9) and found["no"] == pytest.approx(pairs, abs=1e-4)
+    none = metrics.auc_one_vs_rest(rows.limit(0), "y", {"yes": "v"}).collect()
+    assert none == []

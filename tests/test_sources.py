@@ -94,3 +94,25 @@ def test_published_fields_are_the_declared_ones(spark):
                                  "ts timestamp_ntz, machine_id string, power_kw double, machine_status string, alarm_code string")
     sent = json.loads(messages.publishable(rows, "scada").first()["value"])
     assert list(sent) == [f.name for f in schemas.SCADA_MESSAGE.fields] and sent["Alarm_Code"] == ""
+
+
+def test_balanced_bounds_cut_crowded_times_evenly(spark):
+    rows = spark.range(4000).selectExpr(
+        "CASE WHEN id % 10 < 8 THEN timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id / 1000) "
+        "WHEN id % 10 = 8 THEN timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(id % 300) END AS ts")
+    text = rows.selectExpr("date_format(ts, 'yyyy-MM-dd HH:mm:ss.SSSSSS') AS ts").cache()
+    bounds = tables.balanced_bounds(text, 8)
+    assert len(bounds) == 7 and bounds == sorted(set(bounds))
+    counts = [text.where(f"({p}) AND ts IS NOT NULL").count() for p in tables.range_predicates("ts", bounds)]
+    assert sum(counts) == 3600 and max(counts) <= 1.1 * 3600 / 8
+    assert sum(text.where(p).count() for p in tables.range_predicates("ts", bounds)) == 4000
+    same = text.selectExpr("'2024-01-01 00:00:00' AS ts")
+    assert len(tables.balanced_bounds(same, 8)) == 1
+    assert tables.balanced_bounds(text.limit(0), 8) == [] and tables.balanced_bounds(text, 1) == []
+
+
+def test_texts_that_are_no_time_are_flagged(spark):
+    rows = spark.createDataFrame([("2024-01-31 10:00:00",), ("2024-02-31 10:00:00",), ("soon",), ("",), (None,)], "Timestamp string")
+    found = tables.parsed_time(rows).collect()
+    assert [r["is_rejected"] for r in found] == [False, True, True, True, False]
+    assert [r["Timestamp"] is not None for r in found] == [True, False, False, False, False]
