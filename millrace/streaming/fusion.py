@@ -1,46 +1,22 @@
-"""Both nearest matches of a sensor row on streams, from one join."""
+"""Both nearest matches of a sensor row on streams, from one aggregation."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.asof import Feed
-from millrace.operators.scan import micros, time_slice
+from millrace.streaming.nearest import matched
 
 
 def stream_matches(left: DataFrame, feeds: Sequence[Feed], columns: Sequence[str], delay: str = "1 hour") -> DataFrame:
     """Rows of ``left`` (``event_id``, ``machine_id``, ``ts`` and ``columns``) with the nearest row of every feed.
 
-    The feeds are joined as one stream, each row within its own feed's tolerance, and the best
-    match of each feed is found in one aggregation. A chain of one join per feed would lose rows:
-    what the first join gives out late is behind the watermark of the second. A row leaves once the
-    watermark passes it by the largest tolerance. State is keyed by machine and time bucket.
+    The feeds and ``left`` form one stream, each feed matched within its own tolerance, and all best matches are found in
+    one aggregation (see ``nearest.matched``). A chain of one match per feed would lose rows: what the first gives out
+    late is behind the watermark of the second.
     """
-    width = max(f.tolerance_s for f in feeds)
-    reach = F.expr(f"INTERVAL {width} SECONDS")
-    asked = left.withWatermark("ts", delay).withColumn("_bucket", time_slice("ts", width))
-    offered = [
-        f.rows.select(
-            F.col("machine_id").alias("_machine"), F.col("ts").alias("_at"), F.col(f.tie).alias("_tie"), F.lit(f.name).alias("_feed"),
-            F.lit(f.tolerance_s * 1_000_000).cast("long").alias("_within"), F.struct(F.col("ts").alias("_at"), *f.columns).alias(f"_row_{f.name}"),
-        )
-        for f in feeds
-    ]
-    offered = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), offered).withWatermark("_at", delay)
-    home = time_slice("_at", width)
-    offered = offered.withColumn("_home", F.explode(F.sequence(home - 1, home + 1)))
-    gap = F.abs(micros("_at") - micros("ts"))
-    near = (
-        (F.col("machine_id") == F.col("_machine")) & (F.col("_bucket") == F.col("_home"))
-        & (F.col("_at") >= F.col("ts") - reach) & (F.col("_at") <= F.col("ts") + reach) & (gap <= F.col("_within"))
-    )
-    pairs = asked.join(offered, near, "leftOuter")
-    best = pairs.groupBy("machine_id", "ts", "event_id", *columns).agg(*[
-        F.min_by(f"_row_{f.name}", F.when(F.col("_feed") == f.name, F.struct(gap, "_at", "_tie"))).alias(f"_best_{f.name}") for f in feeds
-    ])
-    matched = [F.col(f"_best_{f.name}.{c}").alias(c) for f in feeds for c in f.columns]
-    return best.select("event_id", "machine_id", "ts", *columns, *matched)
+    found = [F.col(f"_best_{f.name}.{c}").alias(c) for f in feeds for c in f.columns]
+    return matched(left, feeds, columns, delay).select("event_id", "machine_id", "ts", *columns, *found)

@@ -1,6 +1,7 @@
 """Streams over several small batches against their batch twins."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import types as T
 from millrace.checks import live, streams
 from millrace.operators import affinity, align, fact
 from millrace.operators import state as latest
-from millrace.operators.asof import nearest_within
+from millrace.operators.asof import Feed, nearest_within
 from millrace.operators.upsert import read_table
 from millrace.plans import jobs, marts
 from millrace.operators.scaling import Scaler
@@ -209,3 +210,40 @@ def test_gaps_across_blocks_and_partitions_without_records(spark):
     ends = spark.createDataFrame([("a", 0, 20_005), ("a", 1, 10), ("b", 0, 4)], "topic string, partition int, end_offset long")
     got = sorted(tuple(r) for r in offsets.ledger(records, ends).collect())
     assert got == [("a", 0, 0, 20_000, 8, 1, 20_001 - 7, 4), ("a", 1, 9, 9, 1, 0, 0, 0), ("b", 0, None, None, 0, 0, None, 4)]
+
+
+def test_matches_on_a_stream_form_no_pairs_and_equal_brute_force(spark, tmp_path):
+    """Crowded instants, copies, ties, rows at the tolerance and across slices, rows without machine; no join, so no pairs."""
+    zero, draw = dt.datetime(2024, 1, 1), random.Random(7)
+    machines = ["A", "B", None]
+    sensor = [(i, draw.choice(machines), zero + dt.timedelta(seconds=draw.choice((draw.randrange(30_000), 900 * draw.randrange(30)))), 1.0) for i in range(400)]
+    sensor += sensor[:20]
+    offers = {
+        name: [(i, draw.choice(machines), zero + dt.timedelta(seconds=900 * draw.randrange(30) + draw.choice((0, 0, 1, 450))), i) for i in range(count)]
+        for name, count in (("near", 150), ("wide", 25))
+    }
+    offers["near"] += [(None, "A", zero + dt.timedelta(seconds=900 * k), 1000 + k) for k in range(0, 30, 4)]
+
+    def arriving(rows, name, columns):
+        kinds = f"event_id long, machine_id string, ts timestamp, {columns}"
+        for part in (rows[: len(rows) // 2], [*rows[len(rows) // 2 :], (-1, "A", dt.datetime(2100, 1, 1), None)]):
+            spark.createDataFrame(part, kinds).coalesce(1).write.mode("append").parquet(str(tmp_path / name))
+        return spark.readStream.schema(kinds).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / name))
+
+    left = arriving(sensor, "left", "t double")
+    within = {"near": 900, "wide": 3600}
+    feeds = [Feed(n, arriving(offers[n], n, f"{n}_no long"), within[n], [f"{n}_no"], "event_id") for n in within]
+
+    def best(row, name):
+        gaps = [(abs((at - row[2]).total_seconds()), at, tie is not None, tie, no) for tie, machine, at, no in offers[name] if machine is not None and machine == row[1]]
+        gaps = [g for g in gaps if g[0] <= within[name]]
+        return min(gaps, key=lambda g: (*g[:3], g[3] or 0))[4] if gaps else None
+
+    for number, used in enumerate(([feeds[0]], feeds)):
+        found = stream_matches(left, used, ["t"]) if number else stream_nearest(left, used[0], ["t"])
+        assert "Join" not in found._jdf.queryExecution().analyzed().toString()
+        out = str(tmp_path / f"out-{number}")
+        runs.replay(runs.to_table(found, out), spark, "matches")
+        rows = spark.read.schema(found.schema).parquet(out).where("event_id >= 0").collect()
+        got = sorted((r["event_id"], *[r[f"{f.name}_no"] for f in used]) for r in rows)
+        assert got == sorted({(r[0], *[best(r, f.name) for f in used]) for r in sensor})
