@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.scan import SLICE, micros, time_slice
+from millrace.operators.scan import SLICE, micros, running_sum, time_slice
 
 
 @dataclass(frozen=True)
@@ -93,23 +93,29 @@ def nearest_within(
 
 
 def nearest_by_rank(left: DataFrame, feed: Feed, by: Sequence[str], left_id: str, ts: str = "ts") -> DataFrame:
-    """The same match as a ranking of the rows found in neighbouring time buckets.
+    """The same match as a ranking: one row per ``left_id`` that has a match.
 
-    Forms every pair within the tolerance, so it suits feeds that are sparse against the
-    tolerance. Kept as the independent form that the tests compare ``nearest_within`` with.
+    The feed's instants are numbered within each key, and each left row learns how many of them lie at or before it;
+    the rows of that number and the next are its candidates, joined by number and ranked by distance. So a left row has
+    two candidates at most, however dense the feed. Kept as the independent form that the tests compare
+    ``nearest_within`` with.
     """
-    asked = left.select(*by, F.col(ts), F.col(left_id), time_slice(ts, feed.tolerance_s).alias("_bucket"))
-    home = time_slice(F.col("_at"), feed.tolerance_s)
-    offered = (
-        feed.rows.select(*by, F.col(ts).alias("_at"), F.col(feed.tie).alias("_tie"), *feed.columns)
-        .withColumn("_bucket", F.explode(F.sequence(home - 1, home + 1)))
-    )
-    gap = F.abs(micros(ts) - micros("_at"))
-    pairs = asked.join(offered, [*by, "_bucket"]).withColumn("_gap", gap)
-    pairs = pairs.where(F.col("_gap") <= feed.tolerance_s * 1_000_000)
-    order = Window.partitionBy(left_id).orderBy("_gap", "_at", "_tie")
-    best = pairs.withColumn("_rank", F.row_number().over(order)).where("_rank = 1")
-    return best.select(left_id, *by, ts, F.col("_at").alias(f"{feed.name}_ts"), *feed.columns)
+    here = _present(by, ts)
+    row = F.struct(F.col(ts).alias("_at"), F.col(feed.tie).alias("_tie"), *feed.columns)
+    asked = left.where(here).select(*by, F.col(ts), F.col(left_id))
+    offered = feed.rows.where(here).select(*by, F.col(ts), row.alias("_row"))
+    marks = asked.select(*by, ts).unionByName(offered, allowMissingColumns=True)
+    first = F.min_by("_row", F.when(F.col("_row").isNotNull(), F.struct("_row._tie")))
+    marks = marks.groupBy(*by, ts).agg(first.alias("_row"))
+    numbered = running_sum(marks, by, [ts], time_slice(ts, feed.tolerance_s), "_number", F.col("_row").isNotNull().cast("long"))
+    near = asked.join(numbered.select(*by, ts, "_number"), [*by, ts])
+    near = near.withColumn("_number", F.explode(F.array(F.col("_number"), F.col("_number") + 1)))
+    pairs = near.join(numbered.where("_row IS NOT NULL").select(*by, "_number", "_row"), [*by, "_number"])
+    pairs = pairs.withColumn("_gap", F.abs(micros(ts) - micros("_row._at"))).where(F.col("_gap") <= feed.tolerance_s * 1_000_000)
+    order = F.struct("_gap", "_row._at", "_row._tie")
+    best = pairs.groupBy(left_id).agg(F.min_by(F.struct(*by, ts, "_row"), order).alias("_best"))
+    kept = [F.col(f"_best.{c}").alias(c) for c in (*by, ts)]
+    return best.select(left_id, *kept, F.col("_best._row._at").alias(f"{feed.name}_ts"), *[F.col(f"_best._row.{c}").alias(c) for c in feed.columns])
 
 
 def _present(by: Sequence[str], ts: str) -> Column:

@@ -99,3 +99,37 @@ def test_dimension_joins(spark):
     assert found == {at(0): (10, 2, "Idle", 3, "Overheat", "1000"), at(1): (None, None, None, None, "Smoke", None)}
     machines = dimensions.seed(spark, "machines")
     assert [r["machine_no"] for r in fact.resolve_scada(frame, machines, states, alarms).collect()] == [10]
+
+
+def joined_rows(spark, frame):
+    """The most rows that a join of ``frame`` gives out."""
+    def of(node):
+        below, children = [], node.children()
+        for i in range(children.size()):
+            below += of(children.apply(i))
+        counted = node.metrics().get("numOutputRows")
+        return below + ([counted.get().value()] if "Join" in node.nodeName() and counted.isDefined() else [])
+
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = frame.collect()
+        return rows, max(of(frame._jdf.queryExecution().executedPlan()))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+def test_the_ranking_form_has_two_candidates_a_row_however_dense_the_feed(spark):
+    left, right = iot(spark, *range(0, 900, 3)), mes(spark, *[(s, s) for s in range(0, 900, 2)])
+    rows, most = joined_rows(spark, asof.nearest_by_rank(left, fact.mes_feed(right), ["machine_id"], "event_id"))
+    assert {r["event_id"]: r["units_produced"] for r in rows} == {i: 3 * i - 3 * i % 2 for i in range(300)}
+    assert most <= 2 * 300
+
+
+def test_the_ranking_form_at_the_tolerance_with_copies_and_missing_keys(spark):
+    left = spark.createDataFrame([(0, "A", at(3600)), (0, "A", at(3600)), (1, "A", at(7201)), (2, None, at(0)), (3, "A", None), (4, "B", at(0)), (5, "A", at(1800))], IOT)
+    row = [1000, 1, 10.0]
+    right = spark.createDataFrame(
+        [(3, "A", at(0), 1000, 3, *row[1:]), (2, "A", at(0), 1000, 2, *row[1:]), (None, "A", at(3600), 1000, 4, *row[1:]), (1, "A", at(3600), 1000, 1, *row[1:]), (9, None, at(0), 1000, 9, *row[1:])], MES)
+    found = asof.nearest_by_rank(left, fact.mes_feed(right), ["machine_id"], "event_id").collect()
+    assert sorted((r["event_id"], r["units_produced"]) for r in found) == [(0, 4), (5, 2)]
