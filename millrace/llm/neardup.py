@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -19,7 +19,7 @@ DOUBTFUL = 70  # of 128 equal minima; a pair at 75 percent has fewer with a chan
 FINE = 1024  # further minima, of documents that leaders have not settled
 AGREEING = 769  # of those, two lowest bits equal; a pair at 75 percent has fewer with a chance of 4e-7
 CHUNK = 4096
-CROWD = 1024  # members outside a bucket's main component from which pairs must share a second band
+BLOCK = 4096  # members of a bucket, about, on each side of the comparisons that one key of a join holds
 
 SKETCH = pa.schema([
     ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64()), ("minima", pa.binary()),
@@ -157,27 +157,35 @@ def _agreeing() -> Column:
     return F.lit(FINE) - reduce(lambda n, k: n + differing(k), range(1, FINE // 32), differing(0))
 
 
+def _blocks(count: str) -> Column:
+    return F.ceil(F.col(count) / BLOCK)
+
+
+def _block_keys(mine: Column, theirs: Column, placed: Callable[[Column, Column], tuple[Column, Column]]) -> Column:
+    """One key per block of the other side: a node's block, by a hash of its id, meets each of ``theirs``."""
+    block = F.pmod(F.xxhash64("node"), mine)
+    return F.explode(F.transform(F.sequence(F.lit(0).cast("long"), theirs - 1), lambda each: F.xxhash64("key", *placed(block, each))))
+
+
 def _open_pairs(bands: DataFrame, of: DataFrame, tested: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
     """Untested pairs in a bucket whose members still lie in different components.
 
     One of such a pair lies outside the bucket's main component, so only those members are compared
-    with the rest; beyond ``CROWD`` of them a pair must share a second band too, as nearly all similar
-    pairs do (0.75 ** 4 of 31 bands). Only pairs whose sizes and digests agree leave the join, each
-    from the first band that it shares.
+    with the rest, whatever their number; a crowded bucket is compared block by block. Only pairs whose
+    sizes and digests agree leave the join, each from the first band that it shares.
     """
     rows = bands.select("key", "node", "band").join(of, "node", "left").withColumn("root", F.coalesce("root", "node"))
     roots = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
     mixed = roots.groupBy("key").agg(F.count(F.lit(1)).alias("roots"), F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("n"))
-    mixed = mixed.where("roots > 1").select("key", F.col("main.root").alias("main"), (F.col("n") - F.col("main.n")).alias("others"))
+    mixed = mixed.where("roots > 1").select("key", F.col("main.root").alias("main"), (F.col("n") - F.col("main.n")).alias("others"), "n")
     rows = stored(rows.join(stored(mixed, "mixed"), "key"), "open")
-    few = rows.where(F.col("others") <= CROWD)
-    crowd = rows.where(F.col("others") > CROWD).join(rows.select("node", F.col("key").alias("other")), "node").where("key <> other")
-    crowd = crowd.withColumn("key", F.xxhash64(F.least("key", "other"), F.greatest("key", "other"))).drop("other")
     tags = F.transform(_band_keys(F.col("minima")), lambda k: F.hash(k))
     nodes = rows.select(F.col("node").alias("doc_id")).distinct()
     fine = stored(sets.join(nodes, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_fine, "node long, bits array<long>"), "fine")
-    members = few.unionByName(crowd).join(classes.select("node", "n_shingles", tags.alias("tags")).join(fine, "node"), "node")
-    outside = members.where("root <> main")
+    members = rows.join(classes.select("node", "n_shingles", tags.alias("tags")).join(fine, "node"), "node")
+    own, other = _blocks("others"), _blocks("n")
+    outside = members.where("root <> main").withColumn("key", _block_keys(own, other, lambda mine, each: (mine, each)))
+    members = members.withColumn("key", _block_keys(other, own, lambda mine, each: (each, mine)))
     digest = [F.coalesce(F.get("bits", F.lit(k)), F.lit(0).cast("long")).alias(f"bits{k}") for k in range(FINE // 32)]
     plain = [F.coalesce(F.col(c), F.lit(0).cast("long")).alias(c) for c in ("node", "root", "main", "n_shingles")]
     sides = [

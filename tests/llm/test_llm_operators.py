@@ -101,6 +101,22 @@ def test_near_duplicates_equal_brute_force(docs, rows, empty):
     assert neardup.keep_first(docs).columns == docs.columns
 
 
+@pytest.mark.parametrize("block", [None, 100])
+def test_a_crowded_bucket_keeps_pairs_that_share_no_other_band(spark, monkeypatch, block):
+    """1,500 documents in one bucket, each its own component; two of them are near copies with that one band in common."""
+    if block:
+        monkeypatch.setattr(neardup, "BLOCK", block, raising=False)
+    rng, count = random.Random(3), 1500
+    sets = {n: [20 * n + k for k in range(20)] for n in range(count)}
+    sets[900] = [*sets[77][:19], 10**6]
+    bands = spark.createDataFrame([(7, n, 0) for n in range(count)], "key long, node long, band int")
+    classes = spark.createDataFrame([(n, 20, bytes(16) + rng.randbytes(496)) for n in range(count)], "node long, n_shingles long, minima binary")
+    none = spark.createDataFrame([], "node long, root long")
+    kept = spark.createDataFrame([(n, s) for n, s in sets.items()], "doc_id long, shingles array<long>")
+    found = neardup._open_pairs(bands, none, none.toDF("u", "v"), classes, kept)
+    assert [tuple(r) for r in neardup._confirmed(found, kept).collect()] == [(77, 900)]
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 100 + k) for k in range(1, 60)] + [(7, 7)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
