@@ -95,7 +95,7 @@ def spans(rows, ts="ts"):
 def _piped(spark, folder, marts=False):
     """Messages arrive in four parts; the path is started anew for each and goes on where it stopped."""
     root = fresh_path(spark, "live")
-    log = sent(spark, folder)
+    log = written(sent(spark, folder), "log")  # numbered once, not for each part
     closing = [(t, 0, 1 << 40, '{"Timestamp":"2100-01-01 00:00:00","Machine_ID":"Machine_1"}') for t in PARTITIONS]
     parts = [*(p.select(*[f.name for f in messages.RECORD.fields]) for p in spans(log, "sent_at")), spark.createDataFrame(closing, messages.RECORD)]
     for part in parts:

@@ -247,3 +247,13 @@ def test_matches_on_a_stream_form_no_pairs_and_equal_brute_force(spark, tmp_path
         rows = spark.read.schema(found.schema).parquet(out).where("event_id >= 0").collect()
         got = sorted((r["event_id"], *[r[f"{f.name}_no"] for f in used]) for r in rows)
         assert got == sorted({(r[0], *[best(r, f.name) for f in used]) for r in sensor})
+
+
+def test_the_log_is_numbered_once_for_all_parts(spark, monkeypatch):
+    """The parts that arrive are read from the written log; none numbers all messages again."""
+    plans = []
+    monkeypatch.setattr(messages, "write_record_files", lambda part, path: plans.append(part._jdf.queryExecution().analyzed().toString()))
+    monkeypatch.setattr(messages, "record_files", lambda *given: None)
+    monkeypatch.setattr(live.live, "run", lambda *given: None)
+    live._piped(spark, FOLDER)
+    assert len(plans) == 5 and not any("Window" in p for p in plans)
