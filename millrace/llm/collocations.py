@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import zlib
-from array import array
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,6 +23,8 @@ SCALE = 2_000_000
 ENTRIES = 1_000_000  # that a task's trie holds before its largest subtrees are spilled
 BURST = 8192  # entries of a container before it becomes a node
 KNOWN = 600_000  # words that a task remembers before it starts anew
+HASHED = 4  # times ``entries`` hashes of pairs that a task holds before it writes them as runs
+WAITING = 1 << 18  # phrases of one length that wait to be added to the trie
 PREFIX = 3  # words that decide a phrase's partition
 SLOT_BYTES = 16_000_000  # of text for each prefix partition
 RANKERS = 64  # tasks that rank a language's phrases before the last one does
@@ -33,24 +34,55 @@ MOST_PARTITIONS = 20_000  # several prefix partitions share one beyond it
 SEPARATORS = b".,;:!?\n\x0b\x0c\r"
 BREAK = SEPARATORS[:1]
 TO_BREAK = bytes.maketrans(SEPARATORS, BREAK * len(SEPARATORS))
+LETTER = ~np.isin(np.arange(256, dtype=np.uint8), np.frombuffer(SEPARATORS + b" \t", np.uint8))
+POWERS = np.cumprod(np.full(64, 0x9E3779B97F4A7C15, np.uint64))  # by place in a word: its first 64 bytes and its length make its hash
+AT_ONCE = 1 << 16  # words that are hashed in one step
 
 RUNS = pa.schema([("slot", pa.int32()), ("lang", pa.string()), ("phrases", pa.binary()), ("counts", pa.binary())])
 RUNS_DDL = "slot int, lang string, phrases binary, counts binary"
+HASH_RUNS = pa.schema([("slot", pa.int32()), ("hashes", pa.binary()), ("counts", pa.binary())])
+HASH_RUNS_DDL = "slot int, hashes binary, counts binary"
 COUNTS = pa.schema([("lang", pa.string()), ("phrase", pa.binary()), ("n", pa.int64())])
 COUNTS_DDL = "lang string, phrase binary, n long"
 
 
-def spoken(text: bytes | None) -> list[bytes]:
-    """The words of a text; ``BREAK`` stands between its pieces."""
-    return (text or b"").lower().translate(TO_BREAK).replace(BREAK, b" " + BREAK + b" ").split()
+def spoken(texts: list[bytes | None]) -> bytes:
+    """Texts as one, in lower case; ``BREAK`` stands between pieces."""
+    return BREAK.join(t or b"" for t in texts).lower().translate(TO_BREAK)
 
 
-def language_seed(lang: str) -> int:
-    return zlib.crc32(lang.encode())
+def words_of(said: bytes) -> list[bytes]:
+    return said.replace(BREAK, b" ").split()
+
+
+def by_language(rows: pa.RecordBatch) -> dict[str, bytes]:
+    texts = defaultdict(list)
+    for lang, text in zip(*(c.to_pylist() for c in rows.columns)):
+        texts[lang].append(text)
+    return {lang: spoken(mine) for lang, mine in texts.items()}
+
+
+def hashed(lang: str, said: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of every word, and the number of the piece that it lies in. Equal words have equal hashes; others may have."""
+    a = np.frombuffer(said, np.uint8)
+    inside = LETTER[a]
+    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    starts, sizes = edges[::2], edges[1::2] - edges[::2]
+    if not len(starts):
+        return np.empty(0, np.uint64), np.empty(0, np.int32)
+    sums = []
+    for k in range(0, len(starts), AT_ONCE):
+        n = np.minimum(sizes[k : k + AT_ONCE], len(POWERS))
+        first = np.cumsum(n) - n
+        place = np.arange(first[-1] + n[-1]) - np.repeat(first, n)
+        letters = a[np.repeat(starts[k : k + AT_ONCE], n) + place]
+        sums.append(np.add.reduceat(POWERS[place] * letters, first))
+    marks = sizes.astype(np.uint64) + np.uint64(zlib.crc32(lang.encode()) << 32)
+    return pair_hash(np.concatenate(sums), marks), np.cumsum(a == BREAK[0], dtype=np.int32)[starts]
 
 
 def word_hash(lang: str, word: bytes) -> int:
-    return xxhash.xxh64_intdigest(word, language_seed(lang))
+    return int(hashed(lang, word)[0][0])
 
 
 def pair_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -58,36 +90,59 @@ def pair_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
         return mixed(mixed(first) * np.uint64(0x9E3779B185EBCA87) + second)
 
 
+def frequent_pairs(h: np.ndarray, piece: np.ndarray, frequent: Filter) -> np.ndarray:
+    """Places of the words that are frequent and followed by a frequent word of the same piece."""
+    if not len(h):
+        return np.empty(0, np.int64)
+    often = frequent(h)
+    return np.flatnonzero(often[:-1] & often[1:] & (piece[:-1] == piece[1:]))
+
+
 class Numbers(dict):
-    """A task's numbers of the words of one language, from 1; 0 for breaks and words that are not frequent."""
+    """A task's numbers of the words of one language."""
 
     def __init__(self, lang: str, words: Words):
-        super().__init__({BREAK: 0})
-        self.lang, self.words, self.seed, self.holds = lang, words, language_seed(lang), words.frequent.holds
+        self.lang, self.words = lang, words
 
     def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh64_intdigest(word, self.seed)
-        self.words.known += 1
-        if not self.holds(h):
-            self[word] = 0
-            return 0
         number = self[word] = len(self.words.names)
         self.words.names.append(word)
         self.words.langs.append(self.lang)
-        self.words.hashes.append(h)
         return number
 
 
 class Words:
-    def __init__(self, frequent: Filter):
-        self.frequent, self.by_lang, self.known = frequent, {}, 0
-        self.names, self.langs, self.hashes = [b""], [""], array("Q", [0])
+    """Numbers of all words that a task has to tell apart, from 1."""
+
+    def __init__(self):
+        self.by_lang, self.names, self.langs = {}, [b""], [""]
 
-    def __call__(self, lang: str, items: list[bytes]) -> list[int]:
+    def __call__(self, lang: str, items: Iterator[bytes], n: int) -> np.ndarray:
         numbers = self.by_lang.get(lang)
         if numbers is None:
             numbers = self.by_lang[lang] = Numbers(lang, self)
-        return list(map(numbers.__getitem__, items))
+        return np.fromiter(map(numbers.__getitem__, items), np.uint64, n)
+
+
+def distinct(words: list[np.ndarray]) -> tuple[list[int], list[int], list[int]]:
+    """Phrases of 2 to 4 numbers, a column for each place, as first words, packed rests and how often; equal ones as one."""
+    head = (words[0] << np.uint64(32)) | words[1]
+    tail = None if len(words) == 2 else words[2] if len(words) == 3 else (words[2] << np.uint64(32)) | words[3]
+    order = np.argsort(head if tail is None else pair_hash(head, tail))
+    head, tail = head[order], None if tail is None else tail[order]
+    new = np.ones(len(order), bool)
+    new[1:] = head[1:] != head[:-1]
+    if tail is not None:
+        new[1:] |= tail[1:] != tail[:-1]
+    starts = np.flatnonzero(new)
+    head, n = head[starts], np.diff(starts, append=len(order)).tolist()
+    firsts, seconds = (head >> np.uint64(32)).tolist(), head & np.uint64(0xFFFFFFFF)
+    if tail is None:
+        return firsts, seconds.tolist(), n
+    tail = tail[starts]
+    if len(words) == 3:
+        return firsts, ((seconds << np.uint64(32)) | tail).tolist(), n
+    return firsts, [(b << 64) | cd for b, cd in zip(seconds.tolist(), tail.tolist())], n
 
 
 class Node(dict):
@@ -151,15 +206,15 @@ class HatTrie:
                         yield (first, second, *unpacked(rest)), n
             else:
                 for rest, n in node.items():
-                    yield (first, *unpacked(rest)) if rest >> 32 else (first, rest), n
+                    yield (first, *unpacked(rest)), n
 
 
-def unpacked(rest: int) -> list[int]:
-    out = []
-    while rest:
-        out.append(rest & 0xFFFFFFFF)
-        rest >>= 32
-    return out[::-1]
+def unpacked(rest: int) -> tuple[int, ...]:
+    if rest >> 64:
+        return rest >> 64, rest >> 32 & 0xFFFFFFFF, rest & 0xFFFFFFFF
+    if rest >> 32:
+        return rest >> 32, rest & 0xFFFFFFFF
+    return (rest,) if rest else ()
 
 
 def run_rows(counts: Iterator[tuple[str, bytes, bytes, int]], slots: int) -> Iterator[pa.RecordBatch]:
@@ -178,7 +233,7 @@ def run_rows(counts: Iterator[tuple[str, bytes, bytes, int]], slots: int) -> Ite
 def _words(slots: int, entries: int):
     """Runs of single words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables: dict[str, dict[bytes, int]] = defaultdict(lambda: defaultdict(int))
+        tables: dict[str, Counter] = defaultdict(Counter)
 
         def spilled():
             yield from run_rows(((lang, word, word, n) for lang, table in tables.items() for word, n in table.items()), slots)
@@ -186,10 +241,7 @@ def _words(slots: int, entries: int):
 
         for rows in batches:
             for lang, text in zip(*(c.to_pylist() for c in rows.columns)):
-                table = tables[lang]
-                for word in spoken(text):
-                    table[word] += 1
-                table.pop(BREAK, None)
+                tables[lang].update(words_of(spoken([text])))
                 if sum(map(len, tables.values())) > entries:
                     yield from spilled()
         yield from spilled()
@@ -197,12 +249,75 @@ def _words(slots: int, entries: int):
     return run
 
 
-def _phrases(slots: int, entries: int, burst: int, words_filter, pairs_filter=None):
-    """Runs of the pairs of frequent words, or, with ``pairs_filter``, of the longer phrases made of frequent pairs."""
+def _pair_hashes(slots: int, entries: int, words_filter):
+    """Runs of the hashes of pairs of frequent words; a hash's first bits decide its slot."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent, found, held = Filter(words_filter.value), [], 0
+        pack = zstandard.ZstdCompressor(level=1).compress
+
+        def spilled():
+            keys, n = np.unique(np.concatenate(found), return_counts=True)
+            n = n.astype(np.uint32)
+            slot = ((keys >> np.uint64(32)) * np.uint64(slots) >> np.uint64(32)).astype(np.int32)
+            starts = np.flatnonzero(np.diff(slot, prepend=-1))
+            for start, end in zip(starts.tolist(), [*starts[1:].tolist(), len(keys)]):
+                values = (int(slot[start]), keys[start:end].tobytes(), pack(n[start:end].tobytes()))
+                yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, HASH_RUNS)], schema=HASH_RUNS)
+
+        for rows in batches:
+            for lang, said in by_language(rows).items():
+                h, piece = hashed(lang, said)
+                at = frequent_pairs(h, piece, frequent)
+                found.append(pair_hash(h[at], h[at + 1]))
+                held += len(at)
+                if held > HASHED * entries:
+                    yield from spilled()
+                    found, held = [], 0
+        if held:
+            yield from spilled()
+
+    return run
+
+
+def _frequent_hashes(least: int):
+    """Rows come by slot; yields the filter's places of the hashes found ``least`` times or more."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, runs = None, []
+        unpack = zstandard.ZstdDecompressor().decompress
+
+        def done():
+            keys, n = (np.concatenate(c) for c in zip(*runs))
+            order = np.argsort(keys)
+            keys = keys[order]
+            starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+            often = keys[starts[np.add.reduceat(n[order], starts, dtype=np.int64) >= least]]
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(Filter.places(often)).astype(np.int64))], names=["place"])
+
+        for rows in batches:
+            for slot, hashes, counts in zip(*(c.to_pylist() for c in rows.columns)):
+                if slot != now and runs:
+                    yield done()
+                    runs = []
+                now = slot
+                runs.append((np.frombuffer(hashes, np.uint64), np.frombuffer(unpack(counts), np.uint32)))
+        if runs:
+            yield done()
+
+    return run
+
+
+def _phrases(slots: int, entries: int, burst: int, words_filter, pairs_filter):
+    """Runs of the phrases of two to four words made of frequent pairs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = Filter(words_filter.value)
-        pairs = None if pairs_filter is None else Filter(pairs_filter.value)
-        words, trie = Words(frequent), HatTrie(burst)
+        frequent, pairs = Filter(words_filter.value), Filter(pairs_filter.value)
+        words, trie = Words(), HatTrie(burst)
+        waiting = {size: [] for size in range(2, LONGEST + 1)}
+
+        def added():
+            for found in waiting.values():
+                if found:
+                    trie.add(*distinct([np.concatenate(c) for c in zip(*found)]))
+                    found.clear()
 
         def spilled(keep):
             names, langs = words.names, words.langs
@@ -214,38 +329,34 @@ def _phrases(slots: int, entries: int, burst: int, words_filter, pairs_filter=No
 
             yield from run_rows(named(), slots)
 
-        def count(numbers):
-            a = np.array(numbers, np.uint64)
-            if len(a) < 2:
-                return
-            x, y = a[:-1], a[1:]
-            ok = (x > 0) & (y > 0)
-            if pairs is None:
-                keys, n = np.unique((x[ok] << np.uint64(32)) | y[ok], return_counts=True)
-                trie.add((keys >> np.uint64(32)).tolist(), (keys & np.uint64(0xFFFFFFFF)).tolist(), n.tolist())
-                return
-            h = np.frombuffer(words.hashes, np.uint64)[a]
-            at = np.flatnonzero(ok)
-            ok[at] = pairs(pair_hash(h[at], h[at + 1]))
-            three = np.flatnonzero(ok[:-1] & ok[1:])
-            keys = (a[three + 1] << np.uint64(32)) | a[three + 2]
-            trie.add(a[three].tolist(), keys.tolist(), [1] * len(three))
-            four = three[:-1][np.diff(three) == 1]
-            keys = ((a[four + 1] << np.uint64(32)) | a[four + 2]).tolist()
-            trie.add(a[four].tolist(), [(k << 32) | d for k, d in zip(keys, a[four + 3].tolist())], [1] * len(four))
-
+        def listen(lang, said):
+            h, piece = hashed(lang, said)
+            at = frequent_pairs(h, piece, frequent)
+            at = at[pairs(pair_hash(h[at], h[at + 1]))]
+            used = np.zeros(len(h), bool)
+            used[at] = used[at + 1] = True
+            numbers = np.zeros(len(h), np.uint64)
+            numbers[used] = words(lang, compress(words_of(said), used.tobytes()), int(used.sum()))
+            for size, found in waiting.items():
+                if size > 2:
+                    at = at[:-1][np.diff(at) == 1]  # places where a shorter phrase starts here and at the next word
+                found.append([numbers[at + k] for k in range(size)])
+
+        held = 0
         for rows in batches:
-            numbers = defaultdict(list)
-            for lang, text in zip(*(c.to_pylist() for c in rows.columns)):
-                numbers[lang] += words(lang, spoken(text))
-                numbers[lang].append(0)
-            for mine in numbers.values():
-                count(mine)
-            if words.known > KNOWN:
-                yield from spilled(0)
-                words, trie = Words(frequent), HatTrie(burst)
-            elif trie.entries > entries:
-                yield from spilled(entries // 2)
+            for lang, said in by_language(rows).items():
+                listen(lang, said)
+                held += len(waiting[2][-1][0])
+                if held <= min(WAITING, entries):
+                    continue
+                added()
+                held = 0
+                if len(words.names) > KNOWN:
+                    yield from spilled(0)
+                    words, trie = Words(), HatTrie(burst)
+                elif trie.entries > entries:
+                    yield from spilled(entries // 2)
+        added()
         yield from spilled(0)
 
     return run
@@ -293,11 +404,10 @@ def _merge(least: int, totals: bool):
 def _filter_places(pairs: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            rows = list(zip(*(c.to_pylist() for c in rows.columns)))
-            first = np.array([word_hash(lang, p.partition(b" ")[0]) for lang, p in rows], np.uint64)
-            if pairs:
-                first = pair_hash(first, np.array([word_hash(lang, p.partition(b" ")[2]) for lang, p in rows], np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(Filter.places(first)).astype(np.int64))], names=["place"])
+            for lang, said in by_language(rows).items():
+                h = hashed(lang, said)[0]
+                h = pair_hash(h[::2], h[1::2]) if pairs else h
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(Filter.places(h)).astype(np.int64))], names=["place"])
 
     return run
 
@@ -310,12 +420,12 @@ def filter_of(frequent: DataFrame, pairs: bool):
 def frequent_phrases(docs: DataFrame, least: int = LEAST, entries: int = ENTRIES, burst: int = BURST) -> tuple[DataFrame, DataFrame]:
     """((lang, phrase, words, n) of all phrases of up to four words found ``least`` times or more, (lang, n) of all words).
 
-    Three passes, each cutting what the next has to count: words, pairs of frequent words, then
-    phrases of three and four words all of whose pairs are frequent, as no part of a frequent
+    Three passes, each cutting what the next has to count: words, hashes of pairs of frequent
+    words, then in tries the phrases all of whose pairs are frequent, as no part of a frequent
     phrase is rarer than the phrase. Tasks know the frequent words and pairs by a filter of fixed
-    size; a false hit costs a count, no phrase is lost. What is shuffled are sorted runs of
-    distinct phrases. A prefix partition holds few phrases of each common word, as three words
-    decide it.
+    size; a false hit or an equal hash costs a count, no phrase is lost and counts are of words,
+    not of hashes. What is shuffled are sorted runs of distinct hashes or phrases. A prefix
+    partition holds few phrases of each common word, as three words decide it.
     """
     spark = docs.sparkSession
     rows = docs.select(
@@ -324,16 +434,19 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, entries: int = ENTRIES
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     slots = max(partitions(spark), 1 + size // SLOT_BYTES)
 
+    def dealt(task, ddl, *order):
+        return rows.mapInArrow(task, ddl).repartition(min(slots, MOST_PARTITIONS), "slot").sortWithinPartitions(*order)
+
     def counted(task, name, totals=False):
-        runs = rows.mapInArrow(task, RUNS_DDL).repartition(min(slots, MOST_PARTITIONS), "slot").sortWithinPartitions("slot", "lang")
-        return stored(runs.mapInArrow(_merge(least, totals), COUNTS_DDL), name)
+        return stored(dealt(task, RUNS_DDL, "slot", "lang").mapInArrow(_merge(least, totals), COUNTS_DDL), name)
 
     words = counted(_words(slots, entries), "words", totals=True)
     often = words.where("phrase IS NOT NULL")
     words_filter = filter_of(often, pairs=False)
-    pairs = counted(_phrases(slots, entries, burst, words_filter), "pairs")
-    longer = counted(_phrases(slots, entries, burst, words_filter, filter_of(pairs, pairs=True)), "phrases")
-    found = often.unionByName(pairs).unionByName(longer).select("lang", F.col("phrase").cast("string").alias("phrase"), "n")
+    hashes = dealt(_pair_hashes(slots, entries, words_filter), HASH_RUNS_DDL, "slot")
+    pairs_filter = filter_of_places(hashes.mapInArrow(_frequent_hashes(least), "place long"))
+    phrases = counted(_phrases(slots, entries, burst, words_filter, pairs_filter), "phrases")
+    found = often.unionByName(phrases).select("lang", F.col("phrase").cast("string").alias("phrase"), "n")
     return found.withColumn("words", F.split("phrase", " ")), words.where("phrase IS NULL").groupBy("lang").agg(F.sum("n").alias("n"))
 
 

@@ -120,6 +120,59 @@ def test_collocations_of_an_empty_table(spark):
     assert collocations.collocations(docs).count() == 0
 
 
+def test_words_of_equal_hashes_are_counted_apart(spark):
+    long = "x" * 64  # only the first 64 bytes and the length of a word decide its hash
+    rows = [("en", f"the {long}{c} of {long}{d}. {long}{c} of") for c, d in ["ab", "ab", "ba", "cc", "ab", "cb"]]
+    assert len({collocations.word_hash("en", f"{long}{c}".encode()) for c in "abc"}) == 1
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    got = {tuple(r) for r in collocations.collocations(docs, least=3, top=40).collect()}
+    assert got == brute_collocations(rows, 3, 80, 40) != set()
+
+
+def test_only_frequent_pairs_reach_the_tries(spark):
+    rng = random.Random(7)
+    rows = [(rng.choice(["en", "de"]), " ".join(rng.choice(["the", "of", "new", "york", "."] * 5 + [f"w{k}" for k in range(40)]) for _ in range(40))) for _ in range(200)]
+    counts = defaultdict(Counter)
+    for lang, text in rows:
+        for piece in text.split("."):
+            words = piece.split()
+            for n in range(1, 5):
+                counts[lang].update(tuple(words[i : i + n]) for i in range(len(words) - n + 1))
+    least = 12
+    often = lambda size: [(lang, p) for lang, f in counts.items() for p, n in f.items() if len(p) == size and n >= least]
+    table = lambda found: spark.createDataFrame([(lang, " ".join(p).encode(), 1) for lang, p in found], "lang string, phrase binary, n long")
+    words_filter = collocations.filter_of(table(often(1)), pairs=False)
+    schema = collocations.pa.schema([("lang", "string"), ("text", "binary")])
+    batches = collocations.pa.Table.from_pylist([{"lang": lang, "text": text.encode()} for lang, text in rows], schema).to_batches(max_chunksize=30)
+
+    runs = [b for k in range(4) for b in collocations._pair_hashes(5, 100, words_filter)(batches[k::4])]
+    runs = sorted(runs, key=lambda b: b["slot"][0].as_py())
+    places = [p for b in collocations._frequent_hashes(least)(runs) for p in b["place"].to_pylist()]
+    want = [collocations.pair_hash(*(np.array([collocations.word_hash(lang, w.encode())], np.uint64) for w in p)) for lang, p in often(2)]
+    assert sorted(places) == sorted(int(x) for h in want for place in collocations.Filter.places(h) for x in place)
+
+    pairs_filter = collocations.filter_of_places(spark.createDataFrame([(p,) for p in places], "place long"))
+    got = Counter()
+    for b in collocations._phrases(5, 100, 4, words_filter, pairs_filter)(batches):
+        [[_, lang, phrases, n]] = zip(*(c.to_pylist() for c in b.columns))
+        unpack = collocations.zstandard.ZstdDecompressor().decompress
+        for phrase, k in zip(unpack(phrases).decode().split("\n"), np.frombuffer(unpack(n), np.uint64).tolist(), strict=True):
+            got[lang, tuple(phrase.split(" "))] += k
+    pairs = set(often(2))
+    whole = {(lang, p): n for lang, f in counts.items() for p, n in f.items() if len(p) > 1 and all((lang, p[i : i + 2]) in pairs for i in range(len(p) - 1))}
+    assert got == whole
+    assert 0 < len(pairs) < sum(len(p) == 2 for f in counts.values() for p in f) / 10
+
+
+def test_equal_phrases_of_a_batch_reach_the_trie_once():
+    rng = random.Random(2)
+    for size in (2, 3, 4):
+        phrases = [tuple(rng.choice([1, 2, 3, 2**32 - 1]) for _ in range(size)) for _ in range(300)]
+        firsts, rests, n = collocations.distinct([np.array(c, np.uint64) for c in zip(*phrases)])
+        assert Counter({(f, *collocations.unpacked(r)): k for f, r, k in zip(firsts, rests, n)}) == Counter(phrases)
+        assert len(firsts) == len(set(phrases))
+
+
 def test_trie_bursts_and_gives_up_whole_subtrees():
     rng, want, trie, got = random.Random(1), Counter(), collocations.HatTrie(burst=8), Counter()
     for _ in range(40):
