@@ -23,7 +23,7 @@ SCALE = 2_000_000
 ENTRIES = 1_000_000  # that a task's trie holds before its largest subtrees are spilled
 BURST = 8192  # entries of a container before it becomes a node
 KNOWN = 600_000  # words that a task remembers before it starts anew
-HASHED = 4  # times ``entries`` hashes of pairs that a task holds before it writes them as runs
+HASHED = 4  # times ``entries`` hashes of phrases that a task holds before it writes them as runs
 WAITING = 1 << 18  # phrases of one length that wait to be added to the trie
 PREFIX = 3  # words that decide a phrase's partition
 SLOT_BYTES = 16_000_000  # of text for each prefix partition
@@ -90,6 +90,16 @@ def pair_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
         return mixed(mixed(first) * np.uint64(0x9E3779B185EBCA87) + second)
 
 
+def longer(at: np.ndarray) -> np.ndarray:
+    """Places where a phrase of one more word starts, from those of its two parts."""
+    return at[:-1][np.diff(at) == 1]
+
+
+def long_hash(h: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of the phrases of three or four words at these places."""
+    return pair_hash(pair_hash(h[at], h[at + 1]), h[at + 2] if size == 3 else pair_hash(h[at + 2], h[at + 3]))
+
+
 def frequent_pairs(h: np.ndarray, piece: np.ndarray, frequent: Filter) -> np.ndarray:
     """Places of the words that are frequent and followed by a frequent word of the same piece."""
     if not len(h):
@@ -249,10 +259,14 @@ def _words(slots: int, entries: int):
     return run
 
 
-def _pair_hashes(slots: int, entries: int, words_filter):
-    """Runs of the hashes of pairs of frequent words; a hash's first bits decide its slot."""
+def _hashes(slots: int, entries: int, words_filter, pairs_filter=None):
+    """Runs of the hashes of pairs of frequent words, or, with ``pairs_filter``, of the longer phrases made of frequent pairs.
+
+    A hash's first bits decide its slot.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, found, held = Filter(words_filter.value), [], 0
+        pairs = None if pairs_filter is None else Filter(pairs_filter.value)
         pack = zstandard.ZstdCompressor(level=1).compress
 
         def spilled():
@@ -268,8 +282,12 @@ def _pair_hashes(slots: int, entries: int, words_filter):
             for lang, said in by_language(rows).items():
                 h, piece = hashed(lang, said)
                 at = frequent_pairs(h, piece, frequent)
-                found.append(pair_hash(h[at], h[at + 1]))
-                held += len(at)
+                heard = [pair_hash(h[at], h[at + 1])]
+                if pairs is not None:
+                    three = longer(at[pairs(heard.pop())])
+                    heard = [long_hash(h, three, 3), long_hash(h, longer(three), 4)]
+                found += heard
+                held += sum(map(len, heard))
                 if held > HASHED * entries:
                     yield from spilled()
                     found, held = [], 0
@@ -306,10 +324,10 @@ def _frequent_hashes(least: int):
     return run
 
 
-def _phrases(slots: int, entries: int, burst: int, words_filter, pairs_filter):
-    """Runs of the phrases of two to four words made of frequent pairs."""
+def _phrases(slots: int, entries: int, burst: int, words_filter, pairs_filter, longer_filter):
+    """Runs of the phrases of two to four words whose hashes and whose parts' hashes the filters hold."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, pairs = Filter(words_filter.value), Filter(pairs_filter.value)
+        frequent, pairs, long = Filter(words_filter.value), Filter(pairs_filter.value), Filter(longer_filter.value)
         words, trie = Words(), HatTrie(burst)
         waiting = {size: [] for size in range(2, LONGEST + 1)}
 
@@ -339,7 +357,8 @@ def _phrases(slots: int, entries: int, burst: int, words_filter, pairs_filter):
             numbers[used] = words(lang, compress(words_of(said), used.tobytes()), int(used.sum()))
             for size, found in waiting.items():
                 if size > 2:
-                    at = at[:-1][np.diff(at) == 1]  # places where a shorter phrase starts here and at the next word
+                    at = longer(at)
+                    at = at[long(long_hash(h, at, size))]
                 found.append([numbers[at + k] for k in range(size)])
 
         held = 0
@@ -420,11 +439,11 @@ def filter_of(frequent: DataFrame, pairs: bool):
 def frequent_phrases(docs: DataFrame, least: int = LEAST, entries: int = ENTRIES, burst: int = BURST) -> tuple[DataFrame, DataFrame]:
     """((lang, phrase, words, n) of all phrases of up to four words found ``least`` times or more, (lang, n) of all words).
 
-    Three passes, each cutting what the next has to count: words, hashes of pairs of frequent
-    words, then in tries the phrases all of whose pairs are frequent, as no part of a frequent
-    phrase is rarer than the phrase. Tasks know the frequent words and pairs by a filter of fixed
-    size; a false hit or an equal hash costs a count, no phrase is lost and counts are of words,
-    not of hashes. What is shuffled are sorted runs of distinct hashes or phrases. A prefix
+    Four passes, each cutting what the next has to count, as no part of a frequent phrase is rarer
+    than the phrase: words, hashes of pairs of frequent words, hashes of longer phrases made of
+    frequent pairs, then in tries the phrases that are left. Tasks know what is frequent by filters
+    of fixed size; a false hit or an equal hash costs a count, no phrase is lost and counts are of
+    words, not of hashes. What is shuffled are sorted runs of distinct hashes or phrases. A prefix
     partition holds few phrases of each common word, as three words decide it.
     """
     spark = docs.sparkSession
@@ -440,12 +459,15 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, entries: int = ENTRIES
     def counted(task, name, totals=False):
         return stored(dealt(task, RUNS_DDL, "slot", "lang").mapInArrow(_merge(least, totals), COUNTS_DDL), name)
 
+    def hashes_filter(task):
+        return filter_of_places(dealt(task, HASH_RUNS_DDL, "slot").mapInArrow(_frequent_hashes(least), "place long"))
+
     words = counted(_words(slots, entries), "words", totals=True)
     often = words.where("phrase IS NOT NULL")
     words_filter = filter_of(often, pairs=False)
-    hashes = dealt(_pair_hashes(slots, entries, words_filter), HASH_RUNS_DDL, "slot")
-    pairs_filter = filter_of_places(hashes.mapInArrow(_frequent_hashes(least), "place long"))
-    phrases = counted(_phrases(slots, entries, burst, words_filter, pairs_filter), "phrases")
+    pairs_filter = hashes_filter(_hashes(slots, entries, words_filter))
+    longer_filter = hashes_filter(_hashes(slots, entries, words_filter, pairs_filter))
+    phrases = counted(_phrases(slots, entries, burst, words_filter, pairs_filter, longer_filter), "phrases")
     found = often.unionByName(phrases).select("lang", F.col("phrase").cast("string").alias("phrase"), "n")
     return found.withColumn("words", F.split("phrase", " ")), words.where("phrase IS NULL").groupBy("lang").agg(F.sum("n").alias("n"))
 

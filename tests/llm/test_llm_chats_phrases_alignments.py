@@ -129,9 +129,9 @@ def test_words_of_equal_hashes_are_counted_apart(spark):
     assert got == brute_collocations(rows, 3, 80, 40) != set()
 
 
-def test_only_frequent_pairs_reach_the_tries(spark):
+def test_only_frequent_phrases_reach_the_tries(spark):
     rng = random.Random(7)
-    rows = [(rng.choice(["en", "de"]), " ".join(rng.choice(["the", "of", "new", "york", "."] * 5 + [f"w{k}" for k in range(40)]) for _ in range(40))) for _ in range(200)]
+    rows = [(rng.choice(["en", "de"]), " ".join(rng.choice(["the", "of", "new", "york city hall", "."] * 5 + [f"w{k}" for k in range(40)]) for _ in range(40))) for _ in range(200)]
     counts = defaultdict(Counter)
     for lang, text in rows:
         for piece in text.split("."):
@@ -139,29 +139,31 @@ def test_only_frequent_pairs_reach_the_tries(spark):
             for n in range(1, 5):
                 counts[lang].update(tuple(words[i : i + n]) for i in range(len(words) - n + 1))
     least = 12
-    often = lambda size: [(lang, p) for lang, f in counts.items() for p, n in f.items() if len(p) == size and n >= least]
-    table = lambda found: spark.createDataFrame([(lang, " ".join(p).encode(), 1) for lang, p in found], "lang string, phrase binary, n long")
-    words_filter = collocations.filter_of(table(often(1)), pairs=False)
+    often = {(lang, p): n for lang, f in counts.items() for p, n in f.items() if n >= least}
+    singles = spark.createDataFrame([(lang, p[0].encode()) for lang, p in often if len(p) == 1], "lang string, phrase binary")
+    words_filter = collocations.filter_of(singles, pairs=False)
     schema = collocations.pa.schema([("lang", "string"), ("text", "binary")])
     batches = collocations.pa.Table.from_pylist([{"lang": lang, "text": text.encode()} for lang, text in rows], schema).to_batches(max_chunksize=30)
 
-    runs = [b for k in range(4) for b in collocations._pair_hashes(5, 100, words_filter)(batches[k::4])]
-    runs = sorted(runs, key=lambda b: b["slot"][0].as_py())
-    places = [p for b in collocations._frequent_hashes(least)(runs) for p in b["place"].to_pylist()]
-    want = [collocations.pair_hash(*(np.array([collocations.word_hash(lang, w.encode())], np.uint64) for w in p)) for lang, p in often(2)]
-    assert sorted(places) == sorted(int(x) for h in want for place in collocations.Filter.places(h) for x in place)
-
-    pairs_filter = collocations.filter_of_places(spark.createDataFrame([(p,) for p in places], "place long"))
+    def filter_by(*filters):
+        runs = [b for k in range(4) for b in collocations._hashes(5, 20, *filters)(batches[k::4])]
+        assert len(runs) > 20  # several runs a slot
+        runs = sorted(runs, key=lambda b: b["slot"][0].as_py())
+        places = [p for b in collocations._frequent_hashes(least)(runs) for p in b["place"].to_pylist()]
+        return len(places) // 2, collocations.filter_of_places(spark.createDataFrame([(p,) for p in places], "place long"))
+
+    n_pairs, pairs_filter = filter_by(words_filter)
+    n_longer, longer_filter = filter_by(words_filter, pairs_filter)
+    sizes = Counter(len(p) for _, p in often)
+    assert (n_pairs, n_longer) == (sizes[2], sizes[3] + sizes[4]) and min(n_pairs, n_longer) > 5
     got = Counter()
-    for b in collocations._phrases(5, 100, 4, words_filter, pairs_filter)(batches):
+    for b in collocations._phrases(5, 100, 4, words_filter, pairs_filter, longer_filter)(batches):
         [[_, lang, phrases, n]] = zip(*(c.to_pylist() for c in b.columns))
         unpack = collocations.zstandard.ZstdDecompressor().decompress
         for phrase, k in zip(unpack(phrases).decode().split("\n"), np.frombuffer(unpack(n), np.uint64).tolist(), strict=True):
             got[lang, tuple(phrase.split(" "))] += k
-    pairs = set(often(2))
-    whole = {(lang, p): n for lang, f in counts.items() for p, n in f.items() if len(p) > 1 and all((lang, p[i : i + 2]) in pairs for i in range(len(p) - 1))}
-    assert got == whole
-    assert 0 < len(pairs) < sum(len(p) == 2 for f in counts.values() for p in f) / 10
+    assert got == {p: n for p, n in often.items() if len(p[1]) > 1}
+    assert len(got) < sum(len(p) > 1 for f in counts.values() for p in f) / 10
 
 
 def test_equal_phrases_of_a_batch_reach_the_trie_once():
